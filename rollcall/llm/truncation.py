@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.session import cut
+from rollcall.session import cut, spill
 
 #: Share of a trigram's occurrences that may end other texts, if it is no ending.
 MOST_TERMINAL = 0.005
@@ -23,7 +23,7 @@ TAIL = 400
 
 # the words of whole texts; only their trigrams leave this step
 _WORDS = r"""
-SELECT w, size(w) AS n
+SELECT w, greatest(size(w) - 3, 0) AS n
 FROM (SELECT filter(split(regexp_replace(text, '[0-9०-९]+', '0'), '\\s+'), x -> x <> '') AS w FROM {docs})
 """
 
@@ -41,13 +41,13 @@ FROM (
 """
 _MARK = r"(?:…|�|(?<=[^.)\\s])\\.\\.\\.|\\[(?:\\.\\.\\.|…|cut|truncated|more)\\])"
 
-# xxhash64 of the first two words keeps the keys of the large aggregate short
+# xxhash64 of the first two words keeps the keys of the large aggregate short; OUTER keeps
+# the planner from splitting the words once more for a filter
 _INSIDE = """
 SELECT h2, w3, count(*) AS inside
 FROM (SELECT xxhash64(x.w1, x.w2) AS h2, x.w3 AS w3
-      FROM {words} LATERAL VIEW inline(arrays_zip(slice(w, 1, n - 3), slice(w, 2, n - 3), slice(w, 3, n - 3))) x AS w1, w2, w3
-      WHERE n > 3)
-GROUP BY h2, w3
+      FROM {words} LATERAL VIEW OUTER inline(arrays_zip(slice(w, 1, n), slice(w, 2, n), slice(w, 3, n))) x AS w1, w2, w3)
+GROUP BY h2, w3 HAVING w3 IS NOT NULL
 """
 
 # a text extracted twice ends once
@@ -60,16 +60,26 @@ FROM {words} WHERE n >= 3 GROUP BY 1, 2
 _BEGINNINGS = """
 SELECT w3, sum(CASE WHEN w3 = word THEN n ELSE 0 END) AS as_word, sum(CASE WHEN w3 <> word THEN n ELSE 0 END) AS as_beginning
 FROM (SELECT word, n, left(word, k) AS w3
-      FROM (SELECT w3 AS word, sum(inside) AS n FROM {inside} WHERE length(w3) <= 40 GROUP BY w3) LATERAL VIEW explode(sequence(1, length(word))) AS k)
+      FROM (SELECT w3 AS word, sum(inside) AS n FROM {inside} WHERE length(w3) <= 40 GROUP BY w3) LATERAL VIEW OUTER explode(sequence(1, length(word))) AS k)
 GROUP BY w3
 """
 
+_EXACT = """
+SELECT e.h2, e.w3, e.ends, coalesce(i.inside, 0) AS inside
+FROM {ends} e LEFT JOIN {inside} i ON e.h2 = i.h2 AND e.w3 = i.w3
+"""
+
+# only final trigrams that texts hardly have inside need the words that begin with their last
 _EVIDENCE = """
-SELECT e.h2, e.w3, max(e.ends) AS ends,
-       sum(CASE WHEN i.w3 = e.w3 THEN i.inside ELSE 0 END) AS inside,
-       sum(CASE WHEN i.w3 <> e.w3 AND startswith(i.w3, e.w3) THEN i.inside ELSE 0 END) AS longer
-FROM {ends} e LEFT JOIN {inside} i ON e.h2 = i.h2 AND startswith(i.w3, e.w3)
-GROUP BY e.h2, e.w3
+SELECT e.h2, e.w3, e.ends, e.inside, coalesce(l.longer, 0) AS longer
+FROM {exact} e LEFT JOIN (
+  SELECT h2, w3, sum(inside) AS longer
+  FROM (SELECT i.h2, left(i.w3, k) AS w3, i.inside
+        FROM (SELECT * FROM {inside} LEFT SEMI JOIN (SELECT h2 FROM {exact} WHERE inside < 20) u USING (h2)) i
+        LATERAL VIEW OUTER explode(sequence(1, length(i.w3) - 1)) AS k
+        WHERE length(i.w3) BETWEEN 2 AND 40)
+  GROUP BY h2, w3
+) l ON e.inside < 20 AND e.h2 = l.h2 AND e.w3 = l.w3
 """
 
 _PAGE_LINE = r"^\\s*[-~\\[(]*\\s*(?:page|p|pg)?[-. ]*(?:[0-9०-९]+[0-9lOoI]*|[lOI][0-9lOI]*|[ivxlcdm]+)\\s*(?:(?:/|of)\\s*[0-9lOI]+)?\\s*[-~\\])]*\\s*$"
@@ -111,9 +121,10 @@ def truncated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     # the last words of each text are a narrow table that two later steps read
     finals = cut(spark.sql(_FINALS.replace("{mark}", _MARK).replace("{tail}", str(TAIL)), docs=names))
     ends = spark.sql(_ENDS, words=finals)
-    # read by both kinds of evidence; the planner reuses its exchange
-    inside = spark.sql(_INSIDE, words=spark.sql(_WORDS, docs=names))
-    evidence = spark.sql(_EVIDENCE, ends=ends, inside=inside)
+    # counted once, read by both kinds of evidence
+    inside = spill(spark.sql(_INSIDE, words=spark.sql(_WORDS, docs=names)))
+    exact = cut(spark.sql(_EXACT, ends=ends, inside=inside))
+    evidence = spark.sql(_EVIDENCE, exact=exact, inside=inside)
     beginnings = spark.sql(_BEGINNINGS, inside=inside)
     sql = _CUT.replace("{most}", repr(most_terminal)).replace("{abbreviation}", str(abbreviation))
     return spark.sql(sql, finals=finals, evidence=evidence, beginnings=beginnings)
