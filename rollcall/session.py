@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +55,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spill(df: DataFrame) -> DataFrame:
+    """Write df as a Parquet table in the shared folder and continue from it.
+
+    For tables that several branches of a query read: columns and filters still reach
+    the scan, and the files are compressed. They are deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rollcall-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    except Exception:  # the session may be gone before
+        if (local := is_shared_local(path)) and os.path.isdir(local):
+            shutil.rmtree(local, ignore_errors=True)
+
+
 def is_shared_local(path: str) -> str | None:
     """The plain path of a file: URI or bare path, else None."""
     if path.startswith("file:"):
