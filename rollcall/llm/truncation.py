@@ -28,9 +28,9 @@ FROM (SELECT filter(split(regexp_replace(text, '[0-9०-९]+', '0'), '\\s+'), x
 """
 
 _FINALS = r"""
-SELECT doc_id, source, text_hash, marked, body, regexp_extract(body, '([^\\n]*)$', 1) AS last_line, size(w) AS n,
-       coalesce(CASE WHEN NOT body RLIKE '[.?!।]$' AND length(regexp_extract(body, '([^\\n]*)$', 1)) BETWEEN 4 AND 90
-            THEN contains(regexp_replace(text, '[0-9०-९]+', '0'), concat('\n', regexp_replace(regexp_extract(body, '([^\\n]*)$', 1), '[0-9०-९]+', '0'), '\n')) END, false) AS runs,
+SELECT doc_id, source, text_hash, marked, body, substring_index(body, '\n', -1) AS last_line, size(w) AS n,
+       coalesce(CASE WHEN NOT body RLIKE '[.?!।]$' AND length(substring_index(body, '\n', -1)) BETWEEN 4 AND 90
+            THEN contains(regexp_replace(text, '[0-9०-९]+', '0'), concat('\n', regexp_replace(substring_index(body, '\n', -1), '[0-9०-९]+', '0'), '\n')) END, false) AS runs,
        coalesce(try_element_at(w, -3), '') AS w1, coalesce(try_element_at(w, -2), '') AS w2, coalesce(try_element_at(w, -1), '') AS w3
 FROM (
   SELECT *, filter(split(regexp_replace(body, '[0-9०-९]+', '0'), '\\s+'), x -> x <> '') AS w
@@ -93,6 +93,7 @@ SELECT d.doc_id, d.source,
          WHEN d.last_line RLIKE '(?i)"""
     + _PAGE_LINE
     + r"""' THEN false
+         WHEN d.last_line RLIKE '^\\s*[0-9]+\\s+\\[|\\]\\s*[0-9]+$' THEN false
          WHEN d.runs OR (d.w2 RLIKE '^[0,.]+$' AND d.w3 RLIKE '^[0,.]+$') THEN false
          WHEN NOT d.last_line RLIKE '[\\p{{Ll}}\\p{{Lo}}]' THEN d.last_line RLIKE '\\p{{Lu}}{{2}}' AND e.inside = 0 AND e.longer > 0 AND e.ends = 1
          WHEN d.body RLIKE '[?!।॥)\\]}}>"\'”’]$' THEN false
