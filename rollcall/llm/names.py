@@ -73,7 +73,7 @@ def person_forms(names: DataFrame) -> DataFrame:
     nicks = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(5)), lambda k: F.transform(F.array(*map(F.lit, NICKNAME_ENDINGS)), lambda e: F.concat(F.substring(F.element_at("name", 1), F.lit(1), k), e))))
     nick = lambda cost, *of: F.transform(nicks, lambda n: F.struct(_bag(F.array(n), *of).alias("form"), F.lit(cost).alias("cost")))
     # written-out given names with and without the middle ones, then initials, then nicknames
-    plain = F.array(form(0, given, last), form(1, first, last), form(1, F.array(F.array_join(given, "")), last), form(1, first, short(middle), last), form(2, short(first), middle, last), form(2, short(given), last), form(3, short(first), last))
+    plain = F.array(form(0, given, last), form(1, first, last), form(1, F.array(F.array_join(given, "")), last), form(1, first, short(middle), last), form(2, short(first), middle, last), form(2, short(given), last), form(2, short(first), last))
     nicked = F.concat(nick(3, last), nick(3, middle, last), nick(3, short(middle), last))
     forms = F.when(F.size("name") > 1, F.concat(plain, nicked)).otherwise(F.array(form(0, F.col("name"))))
     return names.select("pid", F.explode(F.array_distinct(forms)).alias("x")).groupBy("pid", F.col("x.form").alias("form")).agg(F.min("x.cost").alias("cost"))
