@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.pages import Page, Templates, header_masks
+from rollcall.llm.tokens import most_frequent
+from rollcall.session import spill
 
 #: Sources of documents whose texts were read from scanned files.
 SCANNED = ("ls_question_pdf", "rs_bundle_pdf", "rs_debate_floor", "rs_debate_english", "committee_scan")
@@ -304,11 +306,10 @@ def corpus_vocabulary(docs: DataFrame, text: str, scanned) -> _Shared:
         yield emit()
 
     counts = docs.select(F.col(text), scanned.alias("scanned")).mapInArrow(count, "header boolean, key string, n long")
-    counts = counts.groupBy("header", "key").agg(F.sum("n").alias("n")).where("n > 1")
-    kept = counts.where("NOT header").orderBy(F.desc("n"), "key").limit(MOST_WORDS).union(counts.where("header AND n > 2").orderBy(F.desc("n"), "key").limit(MOST_TEMPLATES))
-    rows = kept.collect()
-    words = {r.key: r.n for r in rows if not r.header}
-    return _Shared(docs.sparkSession.sparkContext.broadcast((words, {r.key: r.n for r in rows if r.header})))
+    counts = spill(counts.groupBy("header", "key").agg(F.sum("n").alias("n")).where("n > 1"))
+    words = {r.key: r.n for r in most_frequent(counts.where("NOT header"), "key", MOST_WORDS)}
+    templates = {r.key: r.n for r in most_frequent(counts.where("header AND n > 2"), "key", MOST_TEMPLATES)}
+    return _Shared(docs.sparkSession.sparkContext.broadcast((words, templates)))
 
 
 def _is_scanned(source: str, sources) -> F.Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.lexicon import Lexicon, build, name_of
-from rollcall.session import checkpoint_dir, is_shared_local
+from rollcall.session import checkpoint_dir, is_shared_local, spill
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -115,14 +115,31 @@ def word_counts(df: DataFrame, text: str, words=str.split) -> DataFrame:
     return df.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, key: str, most: int) -> list:
+    """At most `most` rows of counts (key, n) with the largest n, as a list.
+
+    A histogram of n finds the least n first, so partitions send nothing else. Rows that
+    share the last step of the histogram come all or none.
+    """
+    step = F.floor(F.log2("n") * 16)
+    kept = spill(counts.where("n > 1"))
+    rows, least = 0, None
+    for r in kept.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect():
+        rows += r["rows"]
+        if rows > most:
+            break
+        least = r["step"]
+    return [] if least is None else kept.where(step >= least).orderBy(F.desc("n"), key).collect()
+
+
 def compile_lexicon(df: DataFrame, text: str, vocabulary: str, most_words: int = 1 << 15) -> bytes:
     """The lexicon of the most_words most frequent words of all texts.
 
     most_words bounds what the driver holds; words beyond it are merged when met.
     """
-    frequent = word_counts(df, text).where("n > 1").orderBy(F.desc("n"), "word").limit(most_words).select("word")
+    frequent = most_frequent(word_counts(df, text), "word", most_words)
     merger = Merger(vocabulary)
-    return build({r[0].encode(): merger.ids(" " + r[0]) for r in frequent.collect()})
+    return build({r[0].encode(): merger.ids(" " + r[0]) for r in frequent})
 
 
 def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizers: str = TOKENIZERS, vocabulary: str = VOCABULARY, most_words: int = 1 << 15) -> DataFrame:
