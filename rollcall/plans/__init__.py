@@ -1,5 +1,5 @@
 """Queries over the given tables, each plan module with QUERIES and SQL."""
 
-from rollcall.plans import intervals
+from rollcall.plans import intervals, scalars
 
-PLANS = [intervals]
+PLANS = [intervals, scalars]
