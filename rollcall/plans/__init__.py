@@ -1,5 +1,5 @@
 """Queries over the given tables, each plan module with QUERIES and SQL."""
 
-from rollcall.plans import intervals, scalars
+from rollcall.plans import incremental, intervals, ranking, scalars
 
-PLANS = [intervals, scalars]
+PLANS = [intervals, scalars, incremental, ranking]
