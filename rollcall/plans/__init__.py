@@ -1,5 +1,5 @@
 """Queries over the given tables, each plan module with QUERIES and SQL."""
 
-from rollcall.plans import incremental, intervals, ranking, scalars
+from rollcall.plans import entities, incremental, intervals, ranking, relations, scalars, streams
 
-PLANS = [intervals, scalars, incremental, ranking]
+PLANS = [intervals, scalars, incremental, ranking, relations, entities, streams]
