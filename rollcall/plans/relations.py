@@ -161,7 +161,7 @@ SQL = {
     "q_four_way_left": "SELECT n_name, p_brand, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY n_name, p_brand",
     "q_in_subquery": f"SELECT state_name, count(*) AS n FROM tcpd_tuples WHERE {_P} = 'IND' OR pid IN (SELECT pid FROM tcpd_tuples WHERE position = 1 AND pid IS NOT NULL) GROUP BY state_name",
     "q_unmatched": f"WITH q AS (SELECT DISTINCT {_K} AS k FROM ls_questions), d AS (SELECT DISTINCT composite_id AS k FROM documents WHERE source = 'ls_question_pdf' AND composite_id IS NOT NULL) SELECT 'unlisted' AS what, count(*) AS n FROM d ANTI JOIN q USING (k) UNION ALL SELECT 'without_text', count(*) FROM q ANTI JOIN d USING (k)",
-    "q_prefix_join": f"WITH t AS (SELECT DISTINCT {STATE.replace('state_name', 'state')} AS st, {CONS.format().replace('constituency_name', 'constituency')} AS t_seat FROM tenures), c AS (SELECT DISTINCT {_SPACED} AS state, {CONS.format()} AS seat FROM tcpd_tuples), l AS (SELECT * FROM c WHERE seat <> '' AND (state, seat) NOT IN (SELECT (st, t_seat) FROM t)) SELECT state, seat, t_seat FROM l JOIN t ON l.state = t.st AND length(seat) >= 12 AND length(t_seat) >= 12 AND (starts_with(seat, t_seat) OR starts_with(t_seat, seat))",
+    "q_prefix_join": f"WITH t AS (SELECT DISTINCT {STATE.replace('state_name', 'state')} AS st, {CONS.format(c='constituency')} AS t_seat FROM tenures), c AS (SELECT DISTINCT {_SPACED} AS state, {CONS.format(c='constituency_name')} AS seat FROM tcpd_tuples), l AS (SELECT * FROM c WHERE seat <> '' AND (state, seat) NOT IN (SELECT (st, t_seat) FROM t)) SELECT state, seat, t_seat FROM l JOIN t ON l.state = t.st AND length(seat) >= 12 AND length(t_seat) >= 12 AND (starts_with(seat, t_seat) OR starts_with(t_seat, seat))",
     "q_set_diff": f"WITH c AS (SELECT DISTINCT {_P} AS party FROM tcpd_tuples), t AS (SELECT DISTINCT {PARTY.format(c='party_short')} AS party FROM tenures) SELECT 'contests' AS side, party FROM (SELECT * FROM c EXCEPT SELECT * FROM t) UNION ALL SELECT 'terms', party FROM (SELECT * FROM t EXCEPT SELECT * FROM c) UNION ALL SELECT 'both', party FROM (SELECT * FROM c INTERSECT SELECT * FROM t)",
     "q_token_sets": f"SELECT pid, array_to_string(list_sort(list(DISTINCT token)), ' ') AS tokens, count(DISTINCT token) AS n FROM (SELECT pid, unnest({TOKENS.format(c='canonical_name')}) AS token FROM persons WHERE pid IS NOT NULL) GROUP BY pid",
     "q_filters": "SELECT office_type, coalesce(status = 'Sitting' AND (office_type = 'rs' OR term_label = 'LS18'), false) AS is_sitting, count(*) AS n, count(DISTINCT pid) AS persons FROM tenures WHERE pid IS NOT NULL AND external_id IS NOT NULL AND office_type IN ('ls', 'rs') AND NOT coalesce(office_type = 'rs' AND split_part(term_label, '-', 1) = 'MC', false) GROUP BY 1, 2",
