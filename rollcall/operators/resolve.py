@@ -61,6 +61,6 @@ def resolve(spelled: DataFrame, forms: DataFrame, least: float = 92.0) -> DataFr
     scored = scored.withColumn("shared", shared).withColumn("score", F.when((F.col("score") < least) & (F.col("shared") >= 2), 100.0).otherwise(F.col("score")))
     best = scored.groupBy("raw").agg(F.max(F.struct("score", "shared", F.col("other"), "pids", "pid")).alias("b")).select("raw", "b.*")
     sure = (F.col("score") >= 95) | (F.col("shared") >= 2)
-    kind = F.when(F.col("score") < least, "unmatched").when(~sure, "review").when(F.col("pids") == 1, "fuzzy_high").otherwise("ambiguous_fuzzy")
-    second = rest.select("raw").join(best, "raw", "left").select("raw", F.when((F.col("score") >= least) & (F.col("pids") == 1), F.col("pid")).alias("pid"), F.coalesce(kind, F.lit("unmatched")).alias("status"), F.coalesce(F.floor("score"), F.lit(0)).cast("int").alias("score"))
+    kind = F.when(F.col("score").isNull() | (F.col("score") < least), "unmatched").when(~sure, "review").when(F.col("pids") == 1, "fuzzy_high").otherwise("ambiguous_fuzzy")
+    second = rest.select("raw").join(best, "raw", "left").select("raw", F.when((F.col("score") >= least) & (F.col("pids") == 1), F.col("pid")).alias("pid"), kind.alias("status"), F.coalesce(F.floor("score"), F.lit(0)).cast("int").alias("score"))
     return first.union(second)
