@@ -129,13 +129,14 @@ def match_candidates(tuples: DataFrame, persons: DataFrame, tenures: DataFrame,
     """
     people = cut(person_records(persons, tenures, parties))
     rows = candidate_records(tuples, parties).where("size(name) > 0")
-    # slips of the pen in parts no one else bears are mended before sorting
-    counts = rows.select("cid", F.explode("name").alias("token")).groupBy("token").agg(F.count_distinct("cid").alias("n"))
+    # parts no one bears are mended before sorting; the name as typed stays beside
+    tokens = rows.select(F.explode("name").alias("token")).distinct()
     borne = people.select(F.explode("name").alias("token")).where(F.length("token") > 1).distinct()
-    mends = mended(counts, borne).where("size(mends) = 1").select("token", F.get("mends", F.lit(0)).alias("mend"))
+    mends = mended(tokens, borne).where("size(mends) = 1").select("token", F.get("mends", F.lit(0)).alias("mend"))
     at = rows.select("tuple_id", F.posexplode("name").alias("k", "token")).join(mends, "token", "left")
-    clean = at.groupBy("tuple_id").agg(F.sort_array(F.collect_list(F.struct("k", F.coalesce("mend", "token").alias("t")))).alias("x"))
-    rows = cut(rows.drop("name").join(clean.select("tuple_id", F.transform("x", lambda x: x["t"]).alias("name")), "tuple_id"))
+    clean = at.groupBy("tuple_id").agg(F.max(F.col("mend").isNotNull()).alias("odd"), F.sort_array(F.collect_list(F.struct("k", F.coalesce("mend", "token").alias("t")))).alias("x"))
+    clean = clean.select("tuple_id", F.when(F.col("odd"), F.transform("x", lambda x: x["t"])).alias("mended"))
+    rows = cut(rows.join(clean, "tuple_id"))
 
     met = _met(rows, people, window)
     compared = _compared(met, rows, people)
@@ -168,13 +169,14 @@ def _met(rows: DataFrame, people: DataFrame, window: int) -> DataFrame:
         [skeleton(last), text(F.col("state")), F.substring(first, 1, 1)],
         [text(F.col("state")), text(F.col("seat")), F.substring(last, 1, 3), F.substring(first, 1, 1)],
     ]
+    typed = rows.unionByName(rows.where("mended IS NOT NULL").withColumn("name", F.col("mended")))
     out = None
     for order in orders:
         keys = [f"k{i}" for i in range(len(order))]
         named = [c.alias(k) for c, k in zip(order, keys)]
-        left = rows.select(F.col("tuple_id").alias("l"), *named)
+        left = typed.select(F.col("tuple_id").alias("l"), *named)
         # a name typed surname first also stands where it belongs
-        turned = rows.where("size(name) > 1").withColumn("name", F.concat(F.slice("name", F.lit(2), F.size("name")), F.slice("name", 1, 1)))
+        turned = typed.where("size(name) > 1").withColumn("name", F.concat(F.slice("name", F.lit(2), F.size("name")), F.slice("name", 1, 1)))
         left = left.union(turned.select(F.col("tuple_id").alias("l"), *named))
         right = terms.select(F.col("pid").alias("r"), *named).distinct()
         pairs = neighbours(left, right, keys, window)
@@ -184,8 +186,10 @@ def _met(rows: DataFrame, people: DataFrame, window: int) -> DataFrame:
 
 def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
     """One row of comparisons for each pair, with every record of a candidate compared."""
-    close = met.join(rows.select("tuple_id", "cid", "name"), "tuple_id").join(people.select("pid", F.col("name").alias("person")), "pid")
-    close = close.select("cid", "pid", name_evidence(F.col("name"), F.col("person")).alias("n")).where("n > 0").select("cid", "pid").distinct()
+    # of a name as typed and mended the better one counts; without a mend that is the one typed
+    points = F.greatest(name_evidence(F.col("name"), F.col("person")), name_evidence(F.col("mended"), F.col("person")))
+    close = met.join(rows.select("tuple_id", "cid", "name", "mended"), "tuple_id").join(people.select("pid", F.col("name").alias("person")), "pid")
+    close = close.select("cid", "pid", points.alias("n")).where("n > 0").select("cid", "pid").distinct()
     pairs = close.join(rows, "cid").join(people.select("pid", F.col("name").alias("person"), "gender", F.col("born").alias("days"), "terms"), "pid")
     terms = F.coalesce("terms", F.array().cast(people.schema["terms"].dataType))
     near_seat = lambda t: _near(F.col("seat"), t["seat"])
@@ -193,7 +197,7 @@ def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
     known_state, known_party = F.exists(terms, lambda t: F.coalesce(t["state"] != "", F.lit(False))), F.exists(terms, lambda t: t["party"].isNotNull())
     apart = F.array_min(F.transform("days", lambda d: F.abs(d - F.col("born"))))
     return pairs.select(
-        "cid", "pid", name_evidence(F.col("name"), F.col("person")).alias("name_points"),
+        "cid", "pid", points.alias("name_points"),
         F.exists(terms, lambda t: near_seat(t) & near_state(t) & F.coalesce(F.abs(t["year"] - F.col("year")) <= 1, F.lit(False))).cast("int").alias("seat_year"),
         F.exists(terms, lambda t: near_seat(t) & near_state(t)).cast("int").alias("seat"),
         F.when(known_state & (F.col("state") != ""), F.exists(terms, near_state).cast("double")).alias("state"),

@@ -21,8 +21,6 @@ _DECORATIONS = ["mp", "m.p", "mla", "m.l.a", "retd", "alias"]
 _MARKED, _BARE = "āīūēōṛṣśṭḍṇñṅṃḥãâáàäéèêíìîóòôöúùûüç", "aiueorsstdnnnmhaaaaaeeeiiioooouuuuc"
 # fixed values: endings of nicknames after the beginning of a given name
 NICKNAME_ENDINGS = ["u", "oo", "ji", "i", "y"]
-#: From so many distinct names on, a part is a name of its own and not a slip of the pen.
-KNOWN_FROM = 4
 
 
 def parts(name: Column) -> Column:
@@ -96,13 +94,13 @@ def _one_slip(a: Column, b: Column) -> Column:
     return (d == 1) | ((d == 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, ""))))
 
 
-def mended(tokens: DataFrame, borne: DataFrame, known_from: int = KNOWN_FROM) -> DataFrame:
-    """Rows (token, mends ARRAY): for parts few bear, the borne parts one slip away or of one sound.
+def mended(tokens: DataFrame, borne: DataFrame) -> DataFrame:
+    """Rows (token, mends ARRAY): for parts no one bears, the borne parts one slip away or of one sound.
 
-    tokens has (token, n): parts and the number of distinct names they stand in; borne
-    has token. Parts in known_from or more names, borne ones and short ones are as meant.
+    tokens and borne have token. How often a part was typed says nothing: one slip in a
+    common name is common. Borne parts and those of up to three letters are as meant.
     """
-    odd = tokens.where((F.col("n") < known_from) & (F.length("token") > 3)).join(borne, "token", "left_anti")
+    odd = tokens.where(F.length("token") > 3).select("token").distinct().join(borne, "token", "left_anti")
     keys = lambda c: F.explode(F.concat(_cuts(c), F.array(_sound(c))))
     left = odd.select("token", keys(F.col("token")).alias("c"))
     right = borne.where(F.length("token") > 3).select(F.col("token").alias("borne"), keys(F.col("token")).alias("c"))
@@ -115,7 +113,7 @@ def spelling_forms(spellings: DataFrame, names: DataFrame) -> DataFrame:
     typed = cut(spellings.select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
     closed = F.array_join(F.slice("name", 1, F.size("name") - 1), "")  # given names without a space
     borne = names.select(F.explode(F.concat("name", F.array(closed))).alias("token")).where(F.length("token") > 1).distinct()
-    counts = typed.select("spelling", F.explode(F.array_distinct("name")).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    tokens = typed.select(F.explode("name").alias("token")).distinct()
     # two neighbouring parts no one bears may be one part with a space inside
     known = borne.select("token", F.lit(True).alias("is_borne"))
     at = typed.select("spelling", F.posexplode("name").alias("k", "token")).join(known, "token", "left").select("spelling", "k", "token", F.coalesce("is_borne", F.lit(False)).alias("is_borne"))
@@ -123,7 +121,7 @@ def spelling_forms(spellings: DataFrame, names: DataFrame) -> DataFrame:
     joined = joined.join(known, "token").join(typed, "spelling").select(
         "spelling", F.concat(F.slice("name", F.lit(1), F.col("k") - 1), F.array("token"), F.slice("name", F.col("k") + 2, F.size("name"))).alias("name"), F.lit(1).alias("slips")
     )
-    choices = at.join(mended(counts, borne), "token", "left")
+    choices = at.join(mended(tokens, borne), "token", "left")
     # an odd part stays as a choice of its own: it may be a nickname
     choice = F.concat(F.array(F.struct("token", F.lit(0).alias("slip"))), F.transform(F.coalesce("mends", F.array().cast("array<string>")), lambda t: F.struct(t.alias("token"), F.lit(1).alias("slip"))))
     choices = choices.groupBy("spelling").agg(F.sort_array(F.collect_list(F.struct("k", choice.alias("choice")))).alias("all"))

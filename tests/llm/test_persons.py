@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from rollcall.llm import matching
 from rollcall.llm.matching import match_candidates, neighbours
 from rollcall.llm.names import link_spellings, parts
 from rollcall.llm.truth import discover_truth, surviving_rows
@@ -80,3 +81,19 @@ def test_candidates_match_their_persons(spark):
     assert {(r.tuple_id, r.pid) for r in got} == {(1, "n-0"), (2, "n-0"), (3, "n-1"), (5, "n-4")} and all(0.5 <= r.confidence <= 1 for r in got)
     assert match_candidates(tuples.limit(0), people(spark), terms, parties).collect() == []
     assert match_candidates(tuples, people(spark).limit(0), terms.limit(0), parties.limit(0)).collect() == []
+
+
+def test_a_slip_is_mended_however_often_it_is_typed(spark):
+    slips = ["Chetulal Orlokatosi", "SHRI CHETULAL ORLOKATOSI", "Orlokatosi, Chetulal", "Dr. Chetulal Orlokatosi", "Adv. C. K. Orlokatosi", "Chetulal Kaveswar Orlokatosi"]
+    df = spark.createDataFrame([(s,) for s in slips], "spelling string")
+    assert {(r.spelling, r.pid) for r in link_spellings(df, people(spark)).collect()} == {(s, "n-0") for s in slips}
+
+
+def test_a_slip_of_many_candidates_is_mended_beside_the_typed_name(spark, monkeypatch):
+    seen = []
+    met = matching._met
+    monkeypatch.setattr(matching, "_met", lambda rows, people, window: seen.append(rows) or met(rows, people, window))
+    tuples = spark.createDataFrame([(i, f"GEX{i}", 2004, "Belanga", "HILL SIDE", "JVP", "TARESH HOBOLALOHAK", "M", 50, i, i) for i in range(6)], TUPLES)
+    terms, parties = spark.createDataFrame([("n-4", "Belanga", "Hill Side", "JVP", "2004-05-01")], TERMS), spark.createDataFrame([("JVP", "Janvikas Party")], "party_short string, party_full string")
+    match_candidates(tuples, people(spark), terms, parties)
+    assert [tuple(r) for r in seen[0].select("name", "mended").distinct().collect()] == [(["taresh", "hobolalohak"], ["taresh", "hobolalohar"])]
