@@ -4,7 +4,8 @@ Pass one counts, over all documents, the words and the headers that texts repeat
 counts are cut to a bounded number of the most frequent and broadcast. Pass two takes
 each text on its own: page numbers by their sequence, headers by fuzzy repetition at
 page edges, split words by the corpus vocabulary, and misread words by a frequent word
-one misreading away. What remains is joined into paragraphs.
+one misreading away, which the repaired text has in their place. What remains is joined
+into paragraphs.
 """
 
 from __future__ import annotations
@@ -65,24 +66,27 @@ class Vocabulary:
                     index.setdefault(w[:k] + w[k + 1 :], []).append(w)
         self.index = index
         self.memo: dict[str, int] = _Memo(self)
+        self.fixes: dict[str, str] = _Fixes(self)
 
-    def near(self, word: str) -> int:
-        """The count of the most frequent word one misreading away from word."""
-        best = 0
+    def near(self, word: str) -> tuple[int, str]:
+        """The most frequent word one misreading away from word, after its count; (0, "") for none."""
+        best, found = 0, ""
         for cut in [word, *(word[:k] + word[k + 1 :] for k in range(len(word)))]:
             # one letter lost, or one letter read as another
             for w in self.index.get(cut, ()):
                 if w != word and self.lower[w] > best and _one_apart(word, w):
-                    best = self.lower[w]
+                    best, found = self.lower[w], w
             # one letter too many
             if cut != word and self.lower.get(cut, 0) > best and len(cut) > 2:
-                best = self.lower[cut]
+                best, found = self.lower[cut], cut
         for seen, meant in _MISREAD:
             at = word.find(seen)
             while at >= 0:
-                best = max(best, self.lower.get(word[:at] + meant + word[at + len(seen) :], 0))
+                w = word[:at] + meant + word[at + len(seen) :]
+                if self.lower.get(w, 0) > best:
+                    best, found = self.lower[w], w
                 at = word.find(seen, at + 1)
-        return best
+        return best, found
 
 
 def _mostly_letters(w: str) -> bool:
@@ -122,7 +126,7 @@ class _Memo(dict):
         if any(c.isdigit() for c in core):
             # digits between letters, or letters within a number
             if re.search(r"[a-z][0-9]|[0-9][a-z]{2}", low) and not re.search(r"^[0-9]+(?:st|nd|rd|th)$", low):
-                return BAD if n < v.common and v.near(low) > 20 * max(1, n) else RARE
+                return BAD if n < v.common and v.near(low)[0] > 20 * max(1, n) else RARE
             return FINE if not re.fullmatch(r"[0-9.,]*[lOIo][0-9.,lOIo]*", core) or len(core) < 2 else RARE
         if n >= v.common:
             if core != low and _CASE.search(core) and not core.isupper() and v.words.get(core, 0) * 50 <= n and not core[1:].islower():
@@ -130,11 +134,55 @@ class _Memo(dict):
             return FINE
         if _CASE.search(core) and "-" not in core and v.words.get(core, 0) * 20 <= n:
             return BAD
-        if len(core) > 2 and v.near(low) >= 50 * max(1, n):
+        if len(core) > 2 and v.near(low)[0] >= 50 * max(1, n):
             return BAD
         return RARE
 
 
+class _Fixes(dict):
+    """The word that a misread token stands for, in the token's case and edges; the token where none is known."""
+
+    def __init__(self, v: Vocabulary):
+        self.v = v
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > 500_000:
+            self.clear()
+        core = token.strip(_EDGE)
+        at = token.find(core)
+        self[token] = fixed = token[:at] + self._fixed(core) + token[at + len(core) :]
+        return fixed
+
+    def _fixed(self, core: str) -> str:
+        v, low = self.v, core.lower()
+        n = v.lower.get(low, 0)
+        bare = "".join(c for c in low if c not in _STRAY)
+        if bare != low:
+            # a sign between letters is one too many, or stands for a letter
+            best, word = max((v.lower.get(bare, 0), bare), v.near(low))
+            if not best:
+                best, word = v.near(bare)
+            return _in_case(core, word, v) if best else core
+        best, word = v.near(low)
+        mixed = any(c.isdigit() for c in core) or (_LATIN.search(core) and _OTHER.search(core))
+        if best >= 50 * max(1, n) or mixed and best > 20 * max(1, n):
+            return _in_case(core, word, v)
+        # only the case is wrong, if the word is met in another one
+        return _in_case(core, low, v) if not mixed and n > v.words.get(core, 0) else core
+
+
+def _in_case(core: str, word: str, v: Vocabulary) -> str:
+    """word in the case of the token it was read as."""
+    letters = [c for c in core if c.isalpha()]
+    if sum(c.isupper() for c in letters) > 0.6 * len(letters) and len(letters) > 2:
+        return word.upper()
+    capital = word[:1].upper() + word[1:]
+    if not core[:1].isalpha():
+        # the first letter was misread, and with it its case
+        return capital if v.words.get(capital, 0) > v.words.get(word, 0) else word
+    return capital if core[:1].isupper() else word
+
+
 def _is_parted(v: Vocabulary, a: str, b: str) -> bool:
     """Whether two tokens are one word with a stray space inside."""
     left, right = a.lstrip(_EDGE).lower(), b.rstrip(_EDGE).lower()
@@ -170,6 +218,26 @@ def split_words(page: Page, v: Vocabulary) -> dict[int, tuple[int, str]]:
     return out
 
 
+def _corrected(tokens: list[str], first: int, last: int, v: Vocabulary) -> list[str]:
+    """Tokens of a line with misread words replaced and parted ones joined.
+
+    Only tokens from first to before last are words of their own.
+    """
+    kinds = list(map(v.memo.__getitem__, tokens))
+    if not any(kinds):
+        return tokens
+    out, joined = [], False
+    for k, token in enumerate(tokens):
+        inside = first <= k < last
+        if inside and not joined and k > first and (kinds[k - 1] or kinds[k]) and _is_parted(v, tokens[k - 1], token):
+            out[-1], joined = tokens[k - 1] + token, True
+            continue
+        joined = False
+        bad = kinds[k] == BAD and not (k == len(tokens) - 1 and token[-1] in _HYPHENS)
+        out.append(v.fixes[token] if inside and bad else token)
+    return out
+
+
 def misread_lines(page: Page, v: Vocabulary, split: dict[int, tuple[int, str]]) -> set[int]:
     """Lines of running text with at least one misread word."""
     out, kind = set(), v.memo.__getitem__
@@ -207,7 +275,7 @@ def line_kinds(text: str, v: Vocabulary) -> list[tuple[int, str]]:
 
 
 def repaired(text: str, v: Vocabulary) -> str:
-    """The running text in paragraphs, one a line, with split words whole again."""
+    """The running text in paragraphs, one a line, with split, misread and parted words as they were printed."""
     page = Page(text)
     page.find_headers(_templates(v))
     split = split_words(page, v)
@@ -223,13 +291,15 @@ def repaired(text: str, v: Vocabulary) -> str:
             if (gap and (ended or not line[:1].islower())) or indented:
                 paragraphs.append([])
         tokens = line.split()
+        tokens = _corrected(tokens, 1 if i in drop_first else 0, len(tokens) - (1 if i in split else 0), v)
         if i in drop_first:
             tokens = tokens[1:]
         if i in split:
             j, whole = split[i]
             rest = page.lines[j].split()[0]
             half = tokens[-1].rstrip(_HYPHENS) if tokens else ""
-            tokens = [*tokens[:-1], half + rest]
+            word = half + rest
+            tokens = [*tokens[:-1], v.fixes[word] if v.memo[word] == BAD else word]
             drop_first.add(j)
         paragraphs[-1].extend(tokens)
         previous = i
@@ -346,8 +416,9 @@ def noisy_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
 def readable_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", sources=SCANNED) -> DataFrame:
     """Rows (doc_id, text): each scanned text as paragraphs, one a line.
 
-    Headers and page numbers are gone and split words whole; misread words stay as they
-    are. A null text stays null, an empty one empty.
+    Headers and page numbers are gone, split and parted words whole, and misread words
+    replaced by the frequent word they stand for, in their case and with their edges; one
+    for which no such word is known stays. A null text stays null, an empty one empty.
     """
     scanned = _is_scanned(source, sources)
     shared = corpus_vocabulary(docs, text, scanned)

@@ -93,3 +93,12 @@ def test_cut_texts(spark):
     rates = {x.source: x for x in truncation_rates(marked).collect()}
     assert rates["b"].cut == 0 and rates["a"].rate >= 0.95 and rates["c"].documents == 3 and rates[None].documents == 1
     assert truncated(df.limit(0)).collect() == []
+
+
+def test_misread_words_are_replaced():
+    v = Vocabulary({"government": 900, "scheme": 800, "Scheme": 40, "were": 700, "present": 900, "pre": 2, "sent": 3, "released": 600, "funds": 600, "are": 800, "cent": 300, "paid": 60, "laid": 400, "officers": 500, "Officers": 900}, {})
+    assert repaired("(govern~ment) Scherne fun|s relea5ed, scHeme гeleased pai•d xy~zw", v) == "(government) Scheme funds released, scheme released paid xy~zw"
+    assert repaired("were pre sent. GOVERMMENT 0fficers", v) == "were present. GOVERNMENT Officers"
+    assert repaired("the gov-\nernmemt funds", v) == "the government funds"
+    noisy, clean = scan(3, 7), "government"
+    assert "govern~ment" in noisy[0] and "~" not in repaired(noisy[0], Vocabulary({clean: 90, **dict.fromkeys(WORDS, 90)}, {}))
