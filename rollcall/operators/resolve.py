@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import names
+from rollcall.session import cut
+
+#: Forms that one task compares with at a time; it takes a 32nd of that of typed ones.
+BLOCK = 1 << 15
 
 
 def lookup(persons: DataFrame, pid: str, name: str) -> DataFrame:
@@ -31,11 +34,87 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-def resolve(spelled: DataFrame, forms: DataFrame, least: float = 92.0) -> DataFrame:
+class FormBlock:
+    """Forms laid out so that one string is compared with all of them at once."""
+
+    def __init__(self, forms: list[str]):
+        self.forms = forms
+        self.codes = {c: k for k, c in enumerate(sorted(set("".join(forms))), 1)}
+        self.lengths = np.array([len(f) for f in forms], np.int64)
+        self.letters = np.zeros((len(forms), max(self.lengths, default=0)), np.int32)
+        for row, f in zip(self.letters, forms):
+            row[: len(f)] = [self.codes[c] for c in f]
+        self.counts = np.zeros((len(self.codes) + 1, len(forms)), np.uint16)
+        for column in self.letters.T:
+            np.add.at(self.counts, (column, np.arange(len(forms))), 1)
+
+    def _ratios(self, a: str, at: np.ndarray) -> np.ndarray:
+        if len(a) > 64:
+            return np.array([indel_ratio(a, self.forms[i]) for i in at])
+        masks = np.zeros(len(self.codes) + 1, np.uint64)
+        for i, c in enumerate(a):
+            if k := self.codes.get(c):
+                masks[k] |= np.uint64(1 << i)
+        full = np.uint64((1 << len(a)) - 1)
+        row = np.full(len(at), full)
+        for column in self.letters[at, : self.lengths[at].max()].T:
+            u = row & masks[column]
+            row = (row + u) | (row - u)
+        return 200.0 * (len(a) - np.bitwise_count(row & full).astype(np.int64)) / (len(a) + self.lengths[at])
+
+    def best(self, a: str) -> tuple[float, list[str]]:
+        """The greatest indel_ratio of the string a with any form, and every form that has it.
+
+        Two strings share no more letters in order than they have in common at all, so
+        only forms that may reach the best one so far are compared.
+        """
+        most = np.zeros(len(self.forms), np.int64)
+        for c in set(a):
+            if k := self.codes.get(c):
+                most += np.minimum(self.counts[k], a.count(c))
+        bound = 200.0 * most / (len(a) + self.lengths)
+        first = np.argpartition(-bound, 15)[:16] if len(bound) > 16 else np.arange(len(bound))
+        least = self._ratios(a, first).max()
+        at = np.flatnonzero(bound >= least)
+        ratios = self._ratios(a, at)
+        return float(ratios.max()), [self.forms[i] for i in at[ratios == ratios.max()]]
+
+
+def best_forms(rest: DataFrame, forms: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows (form, other, score): for each form of rest the most alike ones of all forms.
+
+    Every form is compared with every other, a block of each side at a time, so what a
+    task holds is bounded; forms alike to the same degree all stay within a block.
+    """
+    sort = lambda c: F.array_join(F.array_sort(F.split(c, " ")), " ")
+    left = cut(rest.select("form").distinct().withColumn("key", sort(F.col("form"))))
+    right = cut(forms.select("form").distinct().withColumn("key", sort(F.col("form"))))
+    a, b = -(-left.count() // max(block // 32, 16)) or 1, -(-right.count() // block) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = left.withColumn("i", F.pmod(F.xxhash64("form"), F.lit(a)).cast("int")).withColumn("j", every(b))
+    right = right.withColumn("j", F.pmod(F.xxhash64("form"), F.lit(b)).cast("int")).withColumn("i", every(a))
+
+    def compare(typed: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(known):
+            spelt: dict[str, list[str]] = {}
+            for form, key in zip(known["form"], known["key"]):
+                spelt.setdefault(key, []).append(form)
+            forms = FormBlock(list(spelt))
+            for form, key in zip(typed["form"], typed["key"]):
+                score, keys = forms.best(key)
+                out += [(form, other, score) for k in keys for other in spelt[k]]
+        return pd.DataFrame(out, columns=["form", "other", "score"])
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(compare, "form string, other string, score double")
+
+
+def resolve(spelled: DataFrame, forms: DataFrame, least: float = 92.0, block: int = BLOCK) -> DataFrame:
     """Rows (raw, pid, status, score) of each distinct raw name.
 
-    exact and ambiguous_exact come from an equi-join. The rest is compared with forms
-    that share the consonants of a token, by the ratio of sorted tokens; fuzzy_high needs 95 or two shared tokens, else review; none is unmatched.
+    exact and ambiguous_exact come from an equi-join. Of the rest each takes the best of
+    all forms by the ratio of sorted tokens; two shared tokens lift a lower ratio to 100.
+    fuzzy_high needs 95 or two shared tokens, else review; none is unmatched.
     """
     raw = spelled.select("raw").distinct().withColumn("form", names.normal_form(F.col("raw")))
     exact = raw.join(forms, "form", "left")
@@ -43,24 +122,10 @@ def resolve(spelled: DataFrame, forms: DataFrame, least: float = 92.0) -> DataFr
     status = F.when(F.col("form") == "", "empty").when(F.col("pids") == 1, "exact").otherwise("ambiguous_exact")
     first = done.select("raw", F.when(F.col("pids") == 1, F.col("pid")).alias("pid"), status.alias("status"), F.when(F.col("form") == "", 0).otherwise(100).alias("score"))
     rest = exact.where("pid IS NULL AND form <> ''").select("raw", "form")
-    # a token without its vowels is a block: most slips of the pen leave one of them
-    keyed = lambda c: F.explode(F.transform(F.filter(F.split(c, " "), lambda t: F.length(t) > 2), lambda t: F.regexp_replace(t, "[aeiou]", "")))
-    left = rest.select("raw", "form", keyed(F.col("form")).alias("key"))
-    right = forms.select(F.col("form").alias("other"), "pids", "pid", keyed(F.col("form")).alias("key"))
-    met = left.join(right, "key").select("raw", "form", "other", "pids", "pid").distinct()
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            by = [" ".join(sorted(x.split())) for x in b["form"]]
-            to = [" ".join(sorted(x.split())) for x in b["other"]]
-            b["score"] = [indel_ratio(x, y) for x, y in zip(by, to)]
-            yield b[["raw", "form", "other", "pids", "pid", "score"]]
-
-    scored = met.mapInPandas(score, "raw string, form string, other string, pids long, pid string, score double")
-    shared = names.shared_tokens(F.col("form"), F.col("other"))
-    scored = scored.withColumn("shared", shared).withColumn("score", F.when((F.col("score") < least) & (F.col("shared") >= 2), 100.0).otherwise(F.col("score")))
-    best = scored.groupBy("raw").agg(F.max(F.struct("score", "shared", F.col("other"), "pids", "pid")).alias("b")).select("raw", "b.*")
+    scored = best_forms(rest, forms, block).withColumn("shared", names.shared_tokens(F.col("form"), F.col("other")))
+    best = scored.groupBy("form").agg(F.max(F.struct("score", "shared", "other")).alias("b")).select("form", "b.*")
+    best = best.join(forms.select(F.col("form").alias("other"), "pids", "pid"), "other").withColumn("score", F.when((F.col("score") < least) & (F.col("shared") >= 2), 100.0).otherwise(F.col("score")))
     sure = (F.col("score") >= 95) | (F.col("shared") >= 2)
     kind = F.when(F.col("score").isNull() | (F.col("score") < least), "unmatched").when(~sure, "review").when(F.col("pids") == 1, "fuzzy_high").otherwise("ambiguous_fuzzy")
-    second = rest.select("raw").join(best, "raw", "left").select("raw", F.when((F.col("score") >= least) & (F.col("pids") == 1), F.col("pid")).alias("pid"), kind.alias("status"), F.coalesce(F.floor("score"), F.lit(0)).cast("int").alias("score"))
+    second = rest.join(best, "form", "left").select("raw", F.when((F.col("score") >= least) & (F.col("pids") == 1), F.col("pid")).alias("pid"), kind.alias("status"), F.coalesce(F.floor("score"), F.lit(0)).cast("int").alias("score"))
     return first.union(second)

@@ -6,7 +6,7 @@ from rollcall.operators import search
 from rollcall.operators.attribute import attribute
 from rollcall.operators.components import connected_components
 from rollcall.operators.dedupe import descending, keep_best, nulls_last
-from rollcall.operators.resolve import indel_ratio, lookup, resolve
+from rollcall.operators.resolve import best_forms, indel_ratio, lookup, resolve
 from rollcall.operators.upsert import insert_or_ignore, merge_stats, mint_ids, snapshot_join, upsert
 
 
@@ -90,3 +90,23 @@ def test_waterfall(spark):
     bridge = spark.createDataFrame([("t2", "p7")], "source_id string, pid string")
     got = rows(attribute(spark.createDataFrame(data, row), terms, bridge, history, 2024))
     assert got == [(1, "p1", "A"), (2, "p2", "A"), (3, "p7", "B"), (4, "TCPD:t3", "C"), (5, "TCPD:t3", "C"), (6, "p1", "D")]
+
+
+def test_resolve_takes_the_best_of_all_forms(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abdeghiklmnoprstuvy") for _ in range(r.randint(4, 13)))
+    known = [" ".join(word() for _ in range(r.randint(1, 3))) for _ in range(120)] + ["ram lal " + word() * 7, "asheswar undivangadarkiyan", "pqrs"]
+    slip = lambda s: "".join(c for c in s if r.random() > 0.06)
+    typed = ["asheswwar undivangararkiyan", *(x for k in known for x in (slip(k), " ".join(reversed(k.split())), word() + " " + word()))]
+    persons = spark.createDataFrame([(f"p{i}", k) for i, k in enumerate(known)], "pid string, n string")
+    forms = lookup(persons, "pid", "n")
+    key = lambda s: " ".join(sorted(s.split()))
+    best = {}
+    for x in best_forms(spark.createDataFrame([(t,) for t in typed], "form string"), forms, 50).collect():
+        best.setdefault(x.form, []).append((x.score, x.other))
+    for t in typed:
+        score = max(indel_ratio(key(t), key(k)) for k in known)
+        assert max(best[t])[0] == score and {o for s, o in best[t] if s == score} == {k for k in known if indel_ratio(key(t), key(k)) == score}
+    got = {x.raw: x for x in resolve(spark.createDataFrame([(t,) for t in typed], "raw string"), forms).collect()}
+    assert got[typed[0]].pid == f"p{len(known) - 2}" and (got[typed[0]].status, got[typed[0]].score) == ("review", 94) and len(got) == len(set(typed))
+    assert {x.status for x in resolve(spark.createDataFrame([("abc",)], "raw string"), forms.limit(0)).collect()} == {"unmatched"}
