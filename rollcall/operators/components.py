@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
     Each round links every node's larger neighbours to its least one, then its smaller
     neighbours and itself to the least; the number of rounds grows with the logarithm of
     the longest path, and no node's neighbours are gathered in a list. Null ends are no
-    edges; loops give components of one.
+    edges; loops give components of one. More rounds than max_rounds are an error, as the
+    labels of an unfinished run would split components.
     """
     e = edges.select("a", "b").dropna().distinct()
     nodes = e.select(F.col("a").alias("node")).union(e.select("b")).distinct()
@@ -29,5 +30,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
         if fresh.count() == pairs.count() and fresh.exceptAll(pairs).isEmpty():
             break
         pairs = fresh
+    else:
+        raise RuntimeError(f"components have not converged in {max_rounds} rounds")
     label = pairs.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(label, nodes["node"] == label["u"], "left").select("node", F.coalesce("component", "node").alias("component"))

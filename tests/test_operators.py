@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rollcall.operators import search
@@ -110,3 +111,10 @@ def test_resolve_takes_the_best_of_all_forms(spark):
     got = {x.raw: x for x in resolve(spark.createDataFrame([(t,) for t in typed], "raw string"), forms).collect()}
     assert got[typed[0]].pid == f"p{len(known) - 2}" and (got[typed[0]].status, got[typed[0]].score) == ("review", 94) and len(got) == len(set(typed))
     assert {x.status for x in resolve(spark.createDataFrame([("abc",)], "raw string"), forms.limit(0)).collect()} == {"unmatched"}
+
+
+def test_unfinished_components_are_an_error(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a int, b int")
+    with pytest.raises(RuntimeError, match="converged"):
+        connected_components(path, 2)
+    assert {r.component for r in connected_components(path).collect()} == {0}
