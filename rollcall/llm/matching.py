@@ -3,15 +3,22 @@
 Both sources are laid in order by several composite sort keys. In each order a record
 meets its nearest neighbours of the other source, and each pair that met in any order is
 compared field by field. The evidence of all records of one candidate is added up, and
-candidates and persons are assigned so that no person stands twice in one contest.
+candidates and persons are assigned by an auction, so that the confidences add up to the
+most and no person stands twice in one contest.
 
-The order is made with a range partitioning; the neighbours across its borders are
-copied over, so a window never ends at one. Records with equal keys are ordered by the
-rest of the key, so of a very common name the ones alike in place and party are neighbours.
+All orders are one range sort, the order's number first. Ranges are cut anywhere, within
+equal keys as well, so a hot key is spread over tasks; the records beyond a range that its
+windows reach are taken over from all ranges before and after it, so what meets does not
+depend on the number of ranges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,31 +29,79 @@ from rollcall.session import cut
 
 #: Neighbours to each side of a record, and the evidence a match needs.
 WINDOW, ACCEPT = 6, 6.0
+#: Least raise of a bid: the assignment is at most this for each candidate below the optimum.
+STEP = 0.05
+#: Left records that a task expands to pairs at a time.
+_AT_ONCE = 50_000
 
 
-def neighbours(left: DataFrame, right: DataFrame, keys: list[str], window: int = WINDOW) -> DataFrame:
+def neighbours(left: DataFrame, right: DataFrame, keys: list[str], window: int = WINDOW, screen=None) -> DataFrame:
     """Rows (l, r): each left id with the right ids nearest to it in the order of keys.
 
     left has l, right has r, both have the columns keys (no nulls). A left record meets
-    the window right records before it and the window ones after it.
+    the window right records before it and the window ones after it, as far as the first
+    key is the same; of equal keys the right ones come first. Repeated records are met
+    repeatedly. screen(left, right) may refuse pairs: it gets the other columns of both
+    as dicts of arrays, a row for each pair, and returns which stay. A task holds the
+    columns of one range without its keys; of other ranges it gets window records of each.
     """
-    both = left.select(F.col("l"), F.lit(None).cast(right.schema["r"].dataType).alias("r"), *keys)
-    both = both.unionByName(right.select(F.lit(None).cast(left.schema["l"].dataType).alias("l"), "r", *keys))
-    ranged = both.repartitionByRange(*keys).withColumn("p", F.spark_partition_id())
-    placed = cut(ranged)  # the place must not change if a task runs again
-    order = [*keys, F.col("r").asc_nulls_last(), F.col("l")]
-    row = F.row_number().over(Window.partitionBy("p").orderBy(*order))
-    rights = placed.where("r IS NOT NULL")
-    back = F.row_number().over(Window.partitionBy("p").orderBy(*[F.col(k).desc() for k in keys], F.col("r").desc()))
-    ahead = F.row_number().over(Window.partitionBy("p").orderBy(*keys, "r"))
-    # the ends of each range are copied to its neighbour
-    over = rights.withColumn("n", back).where(F.col("n") <= window).withColumn("p", F.col("p") + 1).drop("n")
-    under = rights.withColumn("n", ahead).where(F.col("n") <= window).withColumn("p", F.col("p") - 1).drop("n")
-    rows = placed.unionByName(over).unionByName(under).withColumn("row", row)
-    so_far = Window.partitionBy("p").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("rank", F.sum(F.when(F.col("r").isNotNull(), 1).otherwise(0)).over(so_far))
-    lefts = rows.where("l IS NOT NULL").select("p", "l", F.explode(F.sequence(F.col("rank") - window + 1, F.col("rank") + window)).alias("rank"))
-    return lefts.join(rows.where("r IS NOT NULL").select("p", "rank", "r"), ["p", "rank"]).select("l", "r").distinct()
+    extra = {"left": [c for c in left.columns if c not in ("l", *keys)], "right": [c for c in right.columns if c not in ("r", *keys)]}
+    renamed = lambda df, side: df.select(*keys, "l" if side == "left" else "r", *[F.col(c).alias(f"{side}_{c}") for c in extra[side]])
+    both = renamed(left, "left").withColumn("side", F.lit(1)).unionByName(renamed(right, "right").withColumn("side", F.lit(0)), allowMissingColumns=True)
+    order = [*keys, "side", F.xxhash64("l", "r")]
+    ranged = both.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the place must not change if a task runs again
+    placed = cut(ranged.select(F.spark_partition_id().alias("p"), "side", F.col(keys[0]).alias("grp"), "l", "r", *[f"{s}_{c}" for s in extra for c in extra[s]]))
+    sent = ["grp", "r", *(f"right_{c}" for c in extra["right"])]
+    rights = placed.where("side = 0").select("p", *sent)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, schema=None) if (batches := list(batches)) else None
+        if rows is not None and len(rows):
+            n = len(rows)
+            at = np.unique(np.r_[np.arange(min(window, n)), np.arange(max(0, n - window), n)])
+            yield from rows.take(pa.array(at)).combine_chunks().to_batches()
+
+    # at most 2 * window records of each range
+    borders = rights.mapInArrow(ends, rights.schema).toArrow().sort_by("p")
+    shared = left.sparkSession.sparkContext.broadcast(borders)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        if not len(rows):
+            return
+        p, side = rows["p"][0].as_py(), rows["side"].to_numpy()
+        edge, places = shared.value, shared.value["p"].to_numpy()
+        before = edge.filter(pa.array(places < p))
+        before = before.slice(max(0, len(before) - window))
+        # the first records of each later range come before its last ones
+        after = edge.filter(pa.array(places > p)).slice(0, window)
+        own = rows.filter(pa.array(side == 0))
+        known = pa.concat_tables([t.select(sent) for t in (before, own, after)]).combine_chunks()
+        lefts = rows.filter(pa.array(side == 1))
+        rank = np.cumsum(side == 0)[side == 1] + len(before)
+        reach = np.arange(-window, window)
+        for at in range(0, len(lefts), _AT_ONCE):
+            some = lefts.slice(at, _AT_ONCE)
+            r = (rank[at : at + _AT_ONCE, None] + reach).ravel()
+            k = np.repeat(np.arange(len(some)), 2 * window)
+            fits = (r >= 0) & (r < len(known))
+            r, k = r[fits], k[fits]
+            group = lambda t, at: t["grp"].combine_chunks().take(pa.array(at))
+            fits = pc.equal(group(some, k), group(known, r)).to_numpy(zero_copy_only=False)
+            r, k = r[fits], k[fits]
+            if screen is not None:
+                take = lambda t, side, at: {c: t[f"{side}_{c}"].to_numpy()[at] for c in extra[side]}
+                fits = screen(take(some, "left", k), take(known, "right", r))
+                r, k = r[fits], k[fits]
+            out = [some["l"].combine_chunks().take(pa.array(k)), known["r"].combine_chunks().take(pa.array(r))]
+            yield from pa.Table.from_arrays(out, names=["l", "r"]).to_batches()
+
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for df, c in ((left, "l"), (right, "r")))
+    return placed.mapInArrow(meet, kinds)
 
 
 def _plain(c: Column) -> Column:
@@ -120,6 +175,34 @@ def name_evidence(typed: Column, name: Column) -> Column:
     return F.when((surname < 0.75) | (first < 0.4) | (strange > 0), -99.0).otherwise(points)
 
 
+def _pairs_of_letters(text: Column) -> tuple[Column, Column]:
+    """128 bits, one set for each pair of neighbouring letters of a text."""
+    two = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substring(text, i, F.lit(2))), F.lit(128)))
+    one = F.lit(1).cast("long")
+    bit = lambda k: F.call_function("shiftleft", one, F.pmod(k, F.lit(64)).cast("int"))
+    half = lambda within: F.aggregate(two, F.lit(0).cast("long"), lambda acc, k: F.when(within(k), acc.bitwiseOR(bit(k))).otherwise(acc))
+    return half(lambda k: k < 64), half(lambda k: k >= 64)
+
+
+def _letters(parts: Column) -> Column:
+    """64 bits, one set for the first letter of each part."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", one, F.pmod(F.xxhash64(F.substring(t, 1, 1)), F.lit(64)).cast("int"))))
+
+
+def _at_least(text: Column, slips: int, a: Column, b: Column) -> Column:
+    """Bits a text keeps after as many slips as one in `slips` letters; a slip takes two pairs at most."""
+    lost = F.greatest(F.floor(F.length(text) / F.lit(slips)) * 2, F.floor(F.length(text) / F.lit(slips - 1)))
+    return F.greatest(F.lit(0), F.bit_count(a) + F.bit_count(b) - lost).cast("int")
+
+
+def _may_be_alike(left: dict, right: dict) -> np.ndarray:
+    """False only for pairs that name_evidence refuses: surname or first name share too few pairs of letters."""
+    common = lambda a, b: np.bitwise_count(left["a"] & right[a]) + np.bitwise_count(left["b"] & right[b])
+    first = (left["letters"] & right["letter"] != 0) | (common("fa", "fb") >= right["first"])
+    return first & (common("a", "b") >= right["last"])
+
+
 def match_candidates(tuples: DataFrame, persons: DataFrame, tenures: DataFrame, parties: DataFrame, window: int = WINDOW, accept: float = ACCEPT) -> DataFrame:
     """Rows (tuple_id, pid, confidence) of each row of tuples whose candidate is a person.
 
@@ -132,72 +215,88 @@ def match_candidates(tuples: DataFrame, persons: DataFrame, tenures: DataFrame,
     # parts no one bears are mended before sorting; the name as typed stays beside
     tokens = rows.select(F.explode("name").alias("token")).distinct()
     borne = people.select(F.explode("name").alias("token")).where(F.length("token") > 1).distinct()
-    mends = mended(tokens, borne).where("size(mends) = 1").select("token", F.get("mends", F.lit(0)).alias("mend"))
-    at = rows.select("tuple_id", F.posexplode("name").alias("k", "token")).join(mends, "token", "left")
-    clean = at.groupBy("tuple_id").agg(F.max(F.col("mend").isNotNull()).alias("odd"), F.sort_array(F.collect_list(F.struct("k", F.coalesce("mend", "token").alias("t")))).alias("x"))
-    clean = clean.select("tuple_id", F.when(F.col("odd"), F.transform("x", lambda x: x["t"])).alias("mended"))
+    surnames = people.select(F.element_at("name", -1).alias("token")).distinct()
+    mends = mended(tokens, borne)
+    # a first part that is a surname, or may be mended to one, may have been typed surname first
+    turned = mends.select("token", F.explode("mends").alias("mend")).join(surnames.withColumnRenamed("token", "mend"), "mend", "left_semi").select("token").union(surnames).distinct()
+    facts = mends.where("size(mends) = 1").select("token", F.get("mends", F.lit(0)).alias("mend")).join(turned.withColumn("is_last", F.lit(True)), "token", "full")
+    at = rows.select("tuple_id", F.posexplode("name").alias("k", "token")).join(facts, "token", "left")
+    clean = at.groupBy("tuple_id").agg(
+        F.max(F.col("mend").isNotNull()).alias("odd"), F.sort_array(F.collect_list(F.struct("k", F.coalesce("mend", "token").alias("t")))).alias("x"),
+        F.coalesce(F.max((F.col("k") == 0) & F.col("is_last")), F.lit(False)).alias("turned"),
+    )
+    clean = clean.select("tuple_id", "turned", F.when(F.col("odd"), F.transform("x", lambda x: x["t"])).alias("mended"))
     rows = cut(rows.join(clean, "tuple_id"))
 
-    met = _met(rows, people, window)
-    compared = _compared(met, rows, people)
+    compared = _compared(_met(rows, people, window), rows, people)
     # what all records of a candidate say about one person
+    mean = lambda c: F.sum(F.col(c) * F.col("n")) / F.sum(F.when(F.col(c).isNotNull(), F.col("n")))
     one = compared.groupBy("cid", "pid").agg(
-        F.max("name_points").alias("name_points"), F.min("name_points").alias("least_name"),
-        F.max("seat_year").alias("seat_year"), F.max("seat").alias("seat"), F.avg("state").alias("state"),
-        F.max("party").alias("party"), F.avg("born").alias("born"), F.avg("sex").alias("sex"), F.count("*").alias("rows"),
+        F.max("name_points").alias("name_points"), F.max("seat_year").alias("seat_year"), F.max("seat").alias("seat"),
+        mean("state").alias("state"), F.max("party").alias("party"), mean("born").alias("born"), mean("sex").alias("sex"),
     ).where("name_points > 0")
     points = (
         F.col("name_points") + F.when(F.col("seat_year") > 0, 5.0).when(F.col("seat") > 0, 2.5).otherwise(0.0)
         + F.when(F.col("seat_year") > 0, 1.5).otherwise(F.coalesce(F.col("state") * 3 - 1.5, F.lit(0.0))) + F.coalesce(F.col("party") * 1.5 - 0.75, F.lit(0.0))
         + F.coalesce(F.col("born"), F.lit(0.0)) + F.coalesce(F.col("sex") * 3 - 2.5, F.lit(0.0))
     )
-    scored = cut(one.select("cid", "pid", points.alias("points")).where(F.col("points") >= accept))
-    chosen = _assigned(scored, rows)
+    scored = cut(one.select("cid", "pid", F.round(points, 6).alias("points")).where(F.col("points") >= accept))
+    contests = rows.where("year IS NOT NULL AND seat <> ''").select("cid", "year", "state", "seat", "entry").distinct()
+    chosen = assign(scored, contests, ["year", "state", "seat"])
     found = rows.select("tuple_id", "cid").join(chosen, "cid")
     return found.select("tuple_id", "pid", F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("points") - accept) / 2)), 4).alias("confidence"))
 
 
 def _met(rows: DataFrame, people: DataFrame, window: int) -> DataFrame:
-    """Pairs (tuple_id, pid) that are neighbours in at least one order."""
+    """Pairs (tuple_id, pid) that are neighbours in at least one order, a record of each candidate's writing for all alike."""
     first, last = F.element_at("name", 1), F.element_at("name", -1)
     skeleton = lambda c: F.regexp_replace(F.regexp_replace(c, "[aeiouyh]", ""), r"(.)\1+", "$1")
     text = lambda c: F.coalesce(c, F.lit(""))
-    terms = people.select("pid", "name", F.explode_outer("terms").alias("t")).select("pid", "name", F.col("t.state").alias("state"), F.col("t.seat").alias("seat"))
+    state, seat, none = text(F.col("state")), text(F.col("seat")), F.lit("")
     orders = [
-        [last, first, text(F.col("state"))],
-        [first, last, text(F.col("state"))],
-        [skeleton(last), text(F.col("state")), F.substring(first, 1, 1)],
-        [text(F.col("state")), text(F.col("seat")), F.substring(last, 1, 3), F.substring(first, 1, 1)],
+        [last, first, state, none],
+        [first, last, state, none],
+        [skeleton(last), state, F.substring(first, 1, 1), none],
+        [state, seat, F.substring(last, 1, 3), F.substring(first, 1, 1)],
     ]
-    typed = rows.unionByName(rows.where("mended IS NOT NULL").withColumn("name", F.col("mended")))
-    out = None
-    for order in orders:
-        keys = [f"k{i}" for i in range(len(order))]
-        named = [c.alias(k) for c, k in zip(order, keys)]
-        left = typed.select(F.col("tuple_id").alias("l"), *named)
-        # a name typed surname first also stands where it belongs
-        turned = typed.where("size(name) > 1").withColumn("name", F.concat(F.slice("name", F.lit(2), F.size("name")), F.slice("name", 1, 1)))
-        left = left.union(turned.select(F.col("tuple_id").alias("l"), *named))
-        right = terms.select(F.col("pid").alias("r"), *named).distinct()
-        pairs = neighbours(left, right, keys, window)
-        out = pairs if out is None else out.union(pairs)
-    return out.distinct().select(F.col("l").alias("tuple_id"), F.col("r").alias("pid"))
+    keys = ["k", "k0", "k1", "k2", "k3"]
+    placed = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), *[c.alias(f"k{i}") for i, c in enumerate(order)]) for k, order in enumerate(orders)]))
+    # the name as typed, as mended, and either one turned round
+    typed = rows.groupBy("cid", "name", "mended", "turned", "state", "seat").agg(F.min("tuple_id").alias("l"))
+    a, b = _pairs_of_letters(F.concat(F.array_join("name", ""), F.coalesce(F.array_join("mended", ""), none)))
+    letters = _letters(F.concat("name", F.coalesce("mended", F.array().cast("array<string>"))))
+    left = typed.select("l", "turned", "state", "seat", a.alias("a"), b.alias("b"), letters.alias("letters"), F.explode(F.array_compact(F.array("name", "mended"))).alias("form")).withColumnRenamed("form", "name")
+    round_ = F.concat(F.slice("name", F.lit(2), F.size("name")), F.slice("name", 1, 1))
+    left = left.withColumn("name", F.explode(F.when(F.col("turned") & (F.size("name") > 1), F.array(F.col("name"), round_)).otherwise(F.array(F.col("name")))))
+    left = left.select("l", "a", "b", "letters", placed.alias("x")).select("l", "a", "b", "letters", "x.*")
+    a, b, fa, fb = *_pairs_of_letters(last), *_pairs_of_letters(first)
+    several = F.size("name") > 1
+    person = people.select(
+        F.col("pid").alias("r"), "name", F.explode_outer("terms").alias("t"), a.alias("a"), b.alias("b"), fa.alias("fa"), fb.alias("fb"), _at_least(last, 4, a, b).alias("last"),
+        F.when(several, _at_least(first, 5, fa, fb)).otherwise(0).alias("first"), _letters(F.array(first)).alias("letter"),
+    )
+    signs = ["r", "a", "b", "fa", "fb", "last", "first", "letter"]
+    person = person.select(*signs, "name", F.col("t.state").alias("state"), F.col("t.seat").alias("seat")).select(*signs, placed.alias("x")).select(*signs, "x.*").distinct()
+    return neighbours(left, person, keys, window, _may_be_alike).distinct().select(F.col("l").alias("tuple_id"), F.col("r").alias("pid"))
 
 
 def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
-    """One row of comparisons for each pair, with every record of a candidate compared."""
+    """One row of comparisons for each pair, with every record of a candidate compared; n counts equal records."""
     # of a name as typed and mended the better one counts; without a mend that is the one typed
     points = F.greatest(name_evidence(F.col("name"), F.col("person")), name_evidence(F.col("mended"), F.col("person")))
-    close = met.join(rows.select("tuple_id", "cid", "name", "mended"), "tuple_id").join(people.select("pid", F.col("name").alias("person")), "pid")
-    close = close.select("cid", "pid", points.alias("n")).where("n > 0").select("cid", "pid").distinct()
-    pairs = close.join(rows, "cid").join(people.select("pid", F.col("name").alias("person"), "gender", F.col("born").alias("days"), "terms"), "pid")
+    named = people.select("pid", F.col("name").alias("person"))
+    close = met.join(rows.select("tuple_id", "cid", "name", "mended"), "tuple_id").join(named, "pid")
+    close = cut(close.select("cid", "pid", points.alias("n")).where("n > 0").select("cid", "pid").distinct())
+    fields = ["cid", "name", "mended", "state", "seat", "year", "party", "born", "sex"]
+    records = rows.groupBy(*fields).agg(F.count("*").alias("n"))
+    pairs = close.join(records, "cid").join(people.select("pid", F.col("name").alias("person"), "gender", F.col("born").alias("days"), "terms"), "pid")
     terms = F.coalesce("terms", F.array().cast(people.schema["terms"].dataType))
     near_seat = lambda t: _near(F.col("seat"), t["seat"])
     near_state = lambda t: F.coalesce(_near(F.col("state"), t["state"]), F.lit(False))
     known_state, known_party = F.exists(terms, lambda t: F.coalesce(t["state"] != "", F.lit(False))), F.exists(terms, lambda t: t["party"].isNotNull())
     apart = F.array_min(F.transform("days", lambda d: F.abs(d - F.col("born"))))
     return pairs.select(
-        "cid", "pid", points.alias("name_points"),
+        "cid", "pid", "n", points.alias("name_points"),
         F.exists(terms, lambda t: near_seat(t) & near_state(t) & F.coalesce(F.abs(t["year"] - F.col("year")) <= 1, F.lit(False))).cast("int").alias("seat_year"),
         F.exists(terms, lambda t: near_seat(t) & near_state(t)).cast("int").alias("seat"),
         F.when(known_state & (F.col("state") != ""), F.exists(terms, near_state).cast("double")).alias("state"),
@@ -207,27 +306,56 @@ def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def _assigned(scored: DataFrame, rows: DataFrame, rounds: int = 4) -> DataFrame:
-    """Each candidate's person (cid, pid, points), a person once in each contest.
+def assign(scored: DataFrame, contests: DataFrame, place: list[str], step: float = STEP, most_rounds: int = 1000) -> DataFrame:
+    """Each candidate's person (cid, pid, points), a person once in each contest, by an auction.
 
-    Candidates ask for the person with most evidence; in each contest a person keeps the
-    best of those who ask, and the others ask for their next; a result that stands there
-    again under another id of the source is no other candidate. Equal best persons of one
-    candidate leave it unmatched.
+    scored has cid, pid and points above 0; contests has cid, the columns place and entry.
+    A candidate bids for the person worth most to it after the prices of others, and raises
+    the price by what that person is worth more than the next best, or than none. In each
+    contest a person goes to the highest bid; who is outbid bids again, until nobody does.
+    Where each candidate stands in one contest the points add up to the most there are, but
+    for step a candidate. A result that stands in a contest again under another id of the
+    source (of equal entry) is no other candidate. A candidate for whom another person of as
+    many points is free stays unmatched. Empty tables give no rows.
     """
-    contest = rows.where("year IS NOT NULL AND seat <> ''").select("cid", "year", "state", "seat", "entry").distinct()
-    refused = scored.sparkSession.createDataFrame([], scored.select("cid", "pid").schema)
-    asked = scored
-    for _ in range(rounds):
-        left = scored.join(refused, ["cid", "pid"], "left_anti")
-        best = left.groupBy("cid").agg(F.max("points").alias("points"))
-        asked = cut(left.join(best, ["cid", "points"]).groupBy("cid", "points").agg(F.min("pid").alias("pid"), F.max("pid").alias("other")).where("pid = other").drop("other"))
-        entries = asked.join(contest, "cid")
-        kept = entries.groupBy("pid", "year", "state", "seat").agg(F.max(F.struct("points", "cid", "entry")).alias("kept"))
-        lost = entries.join(kept, ["pid", "year", "state", "seat"]).where("kept.cid <> cid AND kept.entry <> entry").select("cid", "pid").distinct()
-        lost = cut(lost)
-        if lost.isEmpty():
+    claims = scored.select("cid", "pid").join(contests, "cid")
+    # only candidates that may meet another one over a person need to bid
+    fought = claims.groupBy("pid", *place).agg(F.min("entry").alias("a"), F.max("entry").alias("b"), F.min("cid").alias("c"), F.max("cid").alias("d")).where("a <> b AND c <> d").select("pid", *place)
+    claims = cut(claims.join(fought, ["pid", *place], "left_semi"))
+    bidders = claims.select("cid").distinct()
+    best = lambda df: df.groupBy("cid").agg(F.max("points").alias("points"))
+    calm = scored.join(bidders, "cid", "left_anti")
+    calm = calm.join(best(calm), ["cid", "points"]).groupBy("cid", "points").agg(F.min("pid").alias("pid"), F.max("pid").alias("other")).where("pid = other").select("cid", "pid", "points")
+    worth = cut(scored.join(bidders, "cid", "left_semi"))
+    if worth.isEmpty():
+        return calm
+    session = scored.sparkSession
+    held = session.createDataFrame([], worth.select("cid", "pid", F.lit(0.0).alias("bid")).schema)
+    prices = session.createDataFrame([], claims.select("pid", *place, "entry", F.col("cid").alias("holder"), F.lit(0.0).alias("price")).schema)
+
+    def costs(of: DataFrame) -> DataFrame:
+        """What each candidate would have to pay for a person where others have bid."""
+        paid = claims.join(of.withColumnRenamed("entry", "of"), ["pid", *place]).where("entry <> of AND cid <> holder")
+        return paid.groupBy("cid", "pid").agg(F.max("price").alias("cost"))
+
+    for _ in range(most_rounds):
+        net = worth.join(held.select("cid"), "cid", "left_anti").join(costs(prices), ["cid", "pid"], "left").withColumn("net", F.col("points") - F.coalesce("cost", F.lit(0.0)))
+        rank = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("net"), "pid"))
+        two = net.withColumn("rank", rank).where("rank <= 2").groupBy("cid").agg(F.max_by(F.struct("pid", "points", "net"), -F.col("rank")).alias("a"), F.max(F.when(F.col("rank") == 2, F.col("net"))).alias("b"))
+        bids = cut(two.where("a.net > 0").select("cid", "a.pid", (F.col("a.points") - F.greatest(F.coalesce("b", F.lit(0.0)), F.lit(0.0)) + step).alias("bid")))
+        if bids.isEmpty():
             break
-        refused = refused.union(lost)
-        asked = asked.join(lost, ["cid", "pid"], "left_anti")
-    return asked.select("cid", "pid", "points")
+        asked = held.unionByName(bids)
+        stands = asked.join(claims, ["cid", "pid"])
+        won = stands.groupBy("pid", *place).agg(F.max(F.struct("bid", "cid", "entry")).alias("w"))
+        lost = stands.join(won, ["pid", *place]).where("w.entry <> entry AND w.cid <> cid").select("cid", "pid").distinct()
+        fresh = won.select("pid", *place, "w.entry", F.col("w.cid").alias("holder"), F.col("w.bid").alias("price"))
+        prices = cut(prices.unionByName(fresh).groupBy("pid", *place).agg(F.max(F.struct("price", "holder", "entry")).alias("w")).select("pid", *place, "w.entry", "w.holder", "w.price"))
+        held = cut(asked.join(lost, ["cid", "pid"], "left_anti"))
+    else:
+        raise RuntimeError(f"the auction has not ended in {most_rounds} rounds")
+    got = held.select("cid", "pid").join(worth, ["cid", "pid"])
+    taken = held.select("cid", "pid").join(claims, ["cid", "pid"]).select("pid", *place, "entry", F.col("cid").alias("holder"), F.lit(1.0).alias("price"))
+    other = worth.select("cid", F.col("pid").alias("o"), F.col("points").alias("p")).join(got, "cid").where("o <> pid AND p >= points")
+    free = other.join(costs(taken).select("cid", F.col("pid").alias("o"), "cost"), ["cid", "o"], "left_anti").select("cid").distinct()
+    return calm.unionByName(got.join(free, "cid", "left_anti").select("cid", "pid", "points"))
