@@ -234,7 +234,7 @@ def match_candidates(tuples: DataFrame, persons: DataFrame, tenures: DataFrame,
     one = compared.groupBy("cid", "pid").agg(
         F.max("name_points").alias("name_points"), F.max("seat_year").alias("seat_year"), F.max("seat").alias("seat"),
         mean("state").alias("state"), F.max("party").alias("party"), mean("born").alias("born"), mean("sex").alias("sex"),
-    ).where("name_points > 0")
+    )
     points = (
         F.col("name_points") + F.when(F.col("seat_year") > 0, 5.0).when(F.col("seat") > 0, 2.5).otherwise(0.0)
         + F.when(F.col("seat_year") > 0, 1.5).otherwise(F.coalesce(F.col("state") * 3 - 1.5, F.lit(0.0))) + F.coalesce(F.col("party") * 1.5 - 0.75, F.lit(0.0))
@@ -281,22 +281,23 @@ def _met(rows: DataFrame, people: DataFrame, window: int) -> DataFrame:
 
 
 def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
-    """One row of comparisons for each pair, with every record of a candidate compared; n counts equal records."""
-    # of a name as typed and mended the better one counts; without a mend that is the one typed
-    points = F.greatest(name_evidence(F.col("name"), F.col("person")), name_evidence(F.col("mended"), F.col("person")))
-    named = people.select("pid", F.col("name").alias("person"))
-    close = met.join(rows.select("tuple_id", "cid", "name", "mended"), "tuple_id").join(named, "pid")
-    close = cut(close.select("cid", "pid", points.alias("n")).where("n > 0").select("cid", "pid").distinct())
-    fields = ["cid", "name", "mended", "state", "seat", "year", "party", "born", "sex"]
+    """One row of comparisons for each record of a candidate whose name fits a person it met; n counts equal records."""
+    met = met.join(rows.select("tuple_id", "cid"), "tuple_id").select("cid", "pid").distinct()
+    # of all ways a candidate's name was typed, and as mended, the best one counts
+    forms = rows.select("cid", F.explode(F.array_compact(F.array("name", "mended"))).alias("form")).distinct()
+    named = met.join(forms, "cid").join(people.select("pid", F.col("name").alias("person")), "pid")
+    named = named.select("cid", "pid", name_evidence(F.col("form"), F.col("person")).alias("points")).where("points > 0")
+    close = cut(named.groupBy("cid", "pid").agg(F.max("points").alias("name_points")))
+    fields = ["cid", "state", "seat", "year", "party", "born", "sex"]
     records = rows.groupBy(*fields).agg(F.count("*").alias("n"))
-    pairs = close.join(records, "cid").join(people.select("pid", F.col("name").alias("person"), "gender", F.col("born").alias("days"), "terms"), "pid")
+    pairs = close.join(records, "cid").join(people.select("pid", "gender", F.col("born").alias("days"), "terms"), "pid")
     terms = F.coalesce("terms", F.array().cast(people.schema["terms"].dataType))
     near_seat = lambda t: _near(F.col("seat"), t["seat"])
     near_state = lambda t: F.coalesce(_near(F.col("state"), t["state"]), F.lit(False))
     known_state, known_party = F.exists(terms, lambda t: F.coalesce(t["state"] != "", F.lit(False))), F.exists(terms, lambda t: t["party"].isNotNull())
     apart = F.array_min(F.transform("days", lambda d: F.abs(d - F.col("born"))))
     return pairs.select(
-        "cid", "pid", "n", points.alias("name_points"),
+        "cid", "pid", "n", "name_points",
         F.exists(terms, lambda t: near_seat(t) & near_state(t) & F.coalesce(F.abs(t["year"] - F.col("year")) <= 1, F.lit(False))).cast("int").alias("seat_year"),
         F.exists(terms, lambda t: near_seat(t) & near_state(t)).cast("int").alias("seat"),
         F.when(known_state & (F.col("state") != ""), F.exists(terms, near_state).cast("double")).alias("state"),
