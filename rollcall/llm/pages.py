@@ -34,7 +34,7 @@ def page_value(line: str) -> tuple[str, int] | None:
     form = f"{left}#{'/' if of else ''}{right}"
     plain = digits.translate(_DEVANAGARI).translate(_MISREAD)
     if plain.isdigit():
-        return (form, int(plain)) if len(plain) <= 3 else None
+        return form, int(plain)
     if set(digits) <= _ROMAN.keys():
         values = [_ROMAN[c] for c in digits]
         return form + "r", sum(-v if v < nxt else v for v, nxt in zip(values, [*values[1:], 0]))
@@ -71,17 +71,18 @@ class Templates:
         """Lines that may be of a template, by their last word."""
         words = self.words
         for i, line in enumerate(lines):
-            if 3 < len(line) < 100:
+            if len(line) > 3:
                 last = line[line.rfind(" ") + 1 :]
                 if last[-1] in "0123456789]).)" or last.lower() in words:
                     yield i
 
 
 def page_lines(lines: list[str]) -> set[int]:
-    """Lines that are only a page number: members of an ascending sequence of one form.
+    """Lines that are only a page number: members of ascending sequences of one form.
 
-    A single number of a form counts when the form is no plain number, or when no row
-    of a table of numbers stands beside it.
+    The longest sequence of a form counts, and of the other numbers every sequence that
+    starts again. A single number of three digits at most counts when the form is no plain
+    number, or when no row of a table of numbers stands beside it; so does a later sequence.
     """
     by_form: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for i, line in enumerate(lines):
@@ -89,16 +90,35 @@ def page_lines(lines: list[str]) -> set[int]:
             by_form[found[0]].append((i, found[1]))
     out: set[int] = set()
     for form, hits in by_form.items():
-        best: dict[int, list[int]] = {}
-        for i, v in hits:
-            before = max((best[v - d] for d in (1, 2, 3) if v - d in best), key=len, default=[])
-            if len(before) + 1 > len(best.get(v, [])):
-                best[v] = [*before, i]
-        chain = max(best.values(), key=len)
-        if len(chain) > 1:
-            out.update(chain)
-        elif form not in ("#", "#.", "#)", "(#)") or (form == "#" and not _in_table(lines, chain[0])):
-            out.update(chain)
+        before: dict[int, int] = {}  # hit -> the hit before it in its sequence
+        length: dict[int, tuple[int, int]] = {}  # value -> longest sequence that ends there, and its hit
+        for k, (_, v) in enumerate(hits):
+            n, last = max((length[v - d] for d in (1, 2, 3) if v - d in length), key=lambda x: x[0], default=(0, -1))
+            if n + 1 > length.get(v, (0, -1))[0]:
+                length[v] = (n + 1, k)
+                before[k] = last
+        n, k = max(length.values(), key=lambda x: x[0])
+        chain = []
+        while k >= 0:
+            chain.append(k)
+            k = before[k]
+        plain = form in ("#", "#.", "#)", "(#)")
+        if n > 1 or hits[chain[0]][1] < 1000 and (not plain or form == "#" and not _in_table(lines, hits[chain[0]][0])):
+            # years beside one another are a table
+            out.update(i for i, v in (hits[k] for k in chain) if v < 1000 or not _in_table(lines, i))
+        # every other number goes on with the latest sequence it fits, or begins one
+        taken, open_at, chains = set(chain), {}, []
+        for k, (i, v) in enumerate(hits):
+            if k in taken:
+                continue
+            c = next((open_at.pop(v - d) for d in (1, 2, 3) if v - d in open_at), None)
+            if c is None:
+                chains.append(c := [])
+            c.append(i)
+            open_at[v] = c
+        for c in chains:
+            if len(c) > 1 and not (plain and any(_in_table(lines, i) for i in c)):
+                out.update(c)
     return out
 
 
@@ -141,7 +161,7 @@ class Page:
 
     def could_be_header(self, i: int) -> bool:
         line = self.lines[i]
-        if not 3 < len(line) < 100 or i in self.numbers or line[0] in "(*.…" or line[-1] in ".;,?:।!-–>" and not line.endswith("(Contd.)"):
+        if len(line) < 4 or i in self.numbers or line[0] in "(*.…" or line[-1] in ".;,?:।!-–>" and not line.endswith("(Contd.)"):
             return False
         return not re.search(r"[0-9] [0-9,]+$", line) and any(c.isalpha() for c in line)
 
@@ -181,11 +201,11 @@ class Page:
         # within a text a header keeps its letters, so a cheap key finds what repeats
         seen: dict[bytes, list[int]] = defaultdict(list)
         for i, line in enumerate(self.lines):
-            if 3 < len(line) < 100 and line[-1] not in ".;,?:।":
+            if len(line) > 3 and line[-1] not in ".;,?:।":
                 seen[(core(line) if "[" in line or "(" in line else line).encode().translate(None, b"0123456789")].append(i)
         repeated = {i for at in seen.values() if len(at) > 1 for i in at}
-        if any("[" in self.lines[i] or "(C" in self.lines[i] for i in range(len(self.lines)) if len(self.lines[i]) < 100):
-            repeated |= {i for i, line in enumerate(self.lines) if ("[" in line or "(C" in line or line.isupper()) and len(line) < 100}
+        if any("[" in line or "(C" in line for line in self.lines):
+            repeated |= {i for i, line in enumerate(self.lines) if "[" in line or "(C" in line or line.isupper()}
         found = {}
         for key, at in self.groups(repeated).items() if repeated else ():
             if len(at) > 1 and sum(max(-2, min(2, self.weight(i))) for i in at) >= len(at):

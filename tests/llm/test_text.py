@@ -1,7 +1,7 @@
 import random
 
 from rollcall.llm.pages import Page, Templates, page_lines, page_value
-from rollcall.llm.scans import Vocabulary, line_kinds, noisy_lines, readable_texts, repaired
+from rollcall.llm.scans import Vocabulary, line_kinds, noisy_lines, questions, readable_texts, repaired
 from rollcall.llm.truncation import truncated, truncation_rates
 
 DOCS = "doc_id long, text string, source string, kind string, w string"
@@ -55,13 +55,39 @@ def test_page_numbers():
     lines = ["8", "text", "46310", "48195", "", "9", "more", "10"]
     assert page_lines(lines) == {0, 5, 7}
     assert page_lines(["12", "13000", "a"]) == set()
+    again = [x for n in (1, 2, 3, 4, 5, 1, 2, 3) for x in (str(n), "running text")]
+    assert page_lines(again) == set(range(0, 16, 2))
+    assert page_lines(["1201", "text", "1202", "text", "1203"]) == {0, 2, 4} and page_lines(["2001", "text"]) == page_lines(["2001", "2002", "2003"]) == set()
+
+
+def test_long_headers():
+    header = "Written Answers of the House of the People to Starred and Unstarred Questions, with the Correction of earlier Answers"
+    page = Page("\n".join(x for n, w in ((1, "first"), (2, "second"), (3, "third")) for x in (header, str(n), f"the {w} page goes on with running text that does not", f"end as {w} pages do but reaches over to what follows and")))
+    page.find_headers(Templates({}))
+    assert len(header) > 100 and page.headers == {0, 4, 8}
+
+
+def test_rare_words_are_asked_for():
+    v = Vocabulary({"scheme": 90_000, "funds": 4_000_000}, {}, {"scheme": 90_000, "funds": 4_000_000}, 10_000_000)
+    text = "funds of the scherne"
+    assert questions(text, v) == {(False, "scherne")}
+    assert line_kinds(text, v) == line_kinds(text, v, {(False, "scherne"): 1800}) == [(0, "char")] and repaired(text, v) == "funds of the scheme"
+    assert line_kinds(text, v, {(False, "scherne"): 1801}) == [] and repaired(text, v, {(False, "scherne"): 1801}) == text
+
+
+def test_headers_and_words_have_no_cap(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4)) + "ation"
+    docs = [(i, f"{word(i)} {word(i)} proposal", "rs_bundle_pdf", None, None) for i in range(3000)] + [(9000 + i, "the proposa1 of " + word(i), "rs_bundle_pdf", None, None) for i in range(5)]
+    df = spark.createDataFrame(docs, DOCS)
+    assert {tuple(r) for r in noisy_lines(df).collect()} == {(9000 + i, 0, "char") for i in range(5)}
+    assert {r.text for r in readable_texts(df).where("doc_id >= 9000").collect()} == {"the proposal of " + word(i) for i in range(5)}
 
 
 def test_compounds_are_no_split_words():
     v = Vocabulary({"non-official": 50, "official": 80, "non": 5, "outlay": 60, "centres": 30, "set": 90, "approved": 90}, {})
     text = "to set up non-\nofficial centres and the approved out-\nlay was set"
     assert line_kinds(text, v) == [(1, "hyphen")]
-    assert repaired(text, v) == "to set up non- official centres and the approved outlay was set"
+    assert repaired(text, v) == "to set up non-official centres and the approved outlay was set"
 
 
 def test_body_lines_that_repeat_are_no_headers():
