@@ -121,6 +121,16 @@ def test_cut_texts(spark):
     assert truncated(df.limit(0)).collect() == []
 
 
+def test_equal_cuts_and_long_ends(spark):
+    sentence = "The committee examined the revised proposal of the state government in detail."
+    rows = [(i, f"Item {chr(97 + i % 26)}{chr(97 + i // 26)}. {sentence} {sentence}", "a", None, None) for i in range(600)]
+    cuts = [(1000 + i, f"Item {chr(97 + i)}. {sentence} The committee examined the revised propo", "a", None, None) for i in range(5)]
+    # ends behind much white space, many marks, and a word of many letters, which is no beginning
+    far = [(2000, f"{sentence} The committee examined the revised{' ' * 900}", "a", None, None), (2001, f"{sentence} The committee examined{'…' * 900} \n", "a", None, None), (2002, f"{sentence} {'x' * 20_000}", "a", None, None)]
+    found = {x.doc_id for x in truncated(spark.createDataFrame(rows + cuts + far, DOCS)).where("is_cut").collect()}
+    assert found == {*range(1000, 1005), 2000, 2001}
+
+
 def test_misread_words_are_replaced():
     v = Vocabulary({"government": 900, "scheme": 800, "Scheme": 40, "were": 700, "present": 900, "pre": 2, "sent": 3, "released": 600, "funds": 600, "are": 800, "cent": 300, "paid": 60, "laid": 400, "officers": 500, "Officers": 900}, {})
     assert repaired("(govern~ment) Scherne fun|s relea5ed, scHeme гeleased pai•d xy~zw", v) == "(government) Scheme funds released, scheme released paid xy~zw"
