@@ -19,6 +19,9 @@ CONFS = {
 }
 
 
+_own: str | None = None  # the folder of a local session that names none
+
+
 def session(app: str = "rollcall", master: str | None = None, **confs: str) -> SparkSession:
     """A session under CONFS; an existing session is returned as it is."""
     builder = SparkSession.builder.appName(app).config(map=CONFS | confs)
@@ -44,7 +47,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return set_already.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="rollcall-checkpoint-")
+    global _own
+    if _own is None:
+        _own = tempfile.mkdtemp(prefix="rollcall-checkpoint-")
+        atexit.register(shutil.rmtree, _own, ignore_errors=True)
+    return _own
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -73,12 +80,13 @@ def _delete(spark: SparkSession, path: str) -> None:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
     except Exception:  # the session may be gone before
-        if (local := is_shared_local(path)) and os.path.isdir(local):
+        local = "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+        if "://" not in local and os.path.isdir(local):
             shutil.rmtree(local, ignore_errors=True)
 
 
-def is_shared_local(path: str) -> str | None:
-    """The plain path of a file: URI or bare path, else None."""
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    return path if os.path.isabs(path) and "://" not in path else None
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path in the machines' own file system that the default file system gives a folder, else None."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(hadoop).toUri().getPath() if files.getUri().getScheme() == "file" else None
