@@ -62,7 +62,7 @@ def plan_amounts(rows: list[tuple], total: int, steepness: float = 0.5) -> list[
     return plan
 
 
-def mix(sized: DataFrame, targets: DataFrame, steepness: float = 0.5, buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+def mix(sized: DataFrame, targets: DataFrame, steepness: float = 0.5, bucket_rows: int = 50_000) -> tuple[DataFrame, DataFrame]:
     """The mix and the report of shares.
 
     sized has doc_id (unique, not null), source and n_tokens; targets has source,
@@ -82,6 +82,7 @@ def mix(sized: DataFrame, targets: DataFrame, steepness: float = 0.5, buckets: i
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     total = sum(r[3] or 0 for r in rows)
+    buckets = max(256, max((r[4] for r in rows), default=0) // bucket_rows)  # of one pass over a source
     plan = plan_amounts([tuple(r)[:4] for r in rows], total, steepness)
     schema = "source string, target_share double, max_repeats int, available long, amount double, slope double"
     amounts = spark.createDataFrame([(a.source, a.target_share, a.max_repeats, a.available, a.amount, a.slope) for a in plan], schema)

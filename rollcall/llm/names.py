@@ -1,15 +1,16 @@
 """Names typed by people: their parts, and the person each spelling stands for.
 
-Every canonical rewriting of a name is generated by rules (forms of address dropped,
-order of parts, given names as initials or nicknames, middle names left out, parts that
-no one bears mended to parts that someone bears) and the forms of spellings and persons
-are equi-joined. A form is as good as it is cheap and rare: of the cheapest forms that
-meet anyone, only one that meets a single person links.
+Every canonical rewriting of a name is generated by rules (forms of address and legal forms
+dropped, order of parts, given names as initials or nicknames, middle names left out, parts
+that no one bears mended to parts that someone bears) and the forms of spellings and persons
+are equi-joined. A rewriting is scored by its rarity: how seldom spellings need its rules,
+learned from all spellings. Of the least rare rewritings that meet anyone, only one that
+meets a single person links.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.truth import TITLES
@@ -17,8 +18,12 @@ from rollcall.session import cut
 
 # fixed values: decorations that are no part of a name
 _DECORATIONS = ["mp", "m.p", "mla", "m.l.a", "retd", "alias"]
+# fixed values: legal forms of organisations
+LEGAL_FORMS = ["ltd", "limited", "pvt", "private", "llp", "inc", "plc", "corp", "gmbh"]
 # fixed values: letters with marks, and what they are without
 _MARKED, _BARE = "āīūēōṛṣśṭḍṇñṅṃḥãâáàäéèêíìîóòôöúùûüç", "aiueorsstdnnnmhaaaaaeeeiiioooouuuuc"
+#: Rewritings of one spelling made in a row; of spellings with more, only those that meet a person are made.
+MOST_IN_ROW = 256
 # fixed values: endings of nicknames after the beginning of a given name
 NICKNAME_ENDINGS = ["u", "oo", "ji", "i", "y"]
 
@@ -38,7 +43,7 @@ def parts(name: Column) -> Column:
     s = F.regexp_replace(s, r"\([^)]*\)|\"[^\"]*\"|“[^”]*”|'[^']*'| alias .*$|, *m\.? ?p\.? *$|, *m\.? ?l\.? ?a\.? *$", " ")
     s = F.regexp_replace(s, r"^\s*([^,]+?)\s*,\s*(.+)$", "$2 $1")
     s = F.regexp_replace(F.regexp_replace(s, r"[-‐‑–'’]", ""), r"[^\p{L}\p{M}]+", " ")
-    return F.filter(F.split(F.trim(s), " "), lambda p: (p != "") & ~p.isin([*TITLES, *_DECORATIONS]))
+    return F.filter(F.split(F.trim(s), " "), lambda p: (p != "") & ~p.isin([*TITLES, *_DECORATIONS, *LEGAL_FORMS]))
 
 
 def person_names(persons: DataFrame) -> DataFrame:
@@ -108,30 +113,58 @@ def mended(tokens: DataFrame, borne: DataFrame) -> DataFrame:
     return pairs.groupBy("token").agg(F.sort_array(F.collect_set("borne")).alias("mends"))
 
 
-def spelling_forms(spellings: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows (spelling, form, slips): the rewritings of each distinct spelling."""
-    typed = cut(spellings.select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
+def _products(choices: Column) -> Column:
+    """Every way to choose one (token, slip) of each list of choices, as (name, slips)."""
+    none = F.array(F.struct(F.array().cast("array<string>").alias("name"), F.lit(0).alias("slips")))
+    return F.aggregate(
+        choices, none,
+        lambda acc, choice: F.flatten(F.transform(acc, lambda a: F.transform(choice, lambda c: F.struct(F.concat(a["name"], F.array(c["token"])).alias("name"), (a["slips"] + c["slip"]).alias("slips"))))),
+    )
+
+
+def spelling_forms(spellings: DataFrame, names: DataFrame, known_forms: DataFrame, most_in_row: int = MOST_IN_ROW) -> DataFrame:
+    """Rows (spelling, form, slips): the rewritings of each distinct spelling.
+
+    known_forms has the column form. Of a spelling with more than most_in_row rewritings
+    only those among known_forms are made: the part that fewest forms have leads to forms,
+    and each form keeps the choices it has, so nothing that meets a person is lost.
+    """
+    # few files of a checkpoint may hold all names, so they are spread before they are split
+    typed = cut(spellings.select("spelling").repartition("spelling").select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
     closed = F.array_join(F.slice("name", 1, F.size("name") - 1), "")  # given names without a space
     borne = names.select(F.explode(F.concat("name", F.array(closed))).alias("token")).where(F.length("token") > 1).distinct()
-    tokens = typed.select(F.explode("name").alias("token")).distinct()
+    at = typed.select("spelling", F.posexplode("name").alias("k", "token"))
     # two neighbouring parts no one bears may be one part with a space inside
-    known = borne.select("token", F.lit(True).alias("is_borne"))
-    at = typed.select("spelling", F.posexplode("name").alias("k", "token")).join(known, "token", "left").select("spelling", "k", "token", F.coalesce("is_borne", F.lit(False)).alias("is_borne"))
-    joined = typed.where("size(name) > 1").select("spelling", F.explode(F.transform(F.sequence(F.lit(1), F.size("name") - 1), lambda k: F.struct(k.alias("k"), F.concat(F.get("name", k - 1), F.get("name", k)).alias("token")))).alias("x")).select("spelling", "x.k", "x.token")
-    joined = joined.join(known, "token").join(typed, "spelling").select(
+    joined = typed.where("size(name) > 1").select("spelling", "name", F.explode(F.transform(F.sequence(F.lit(1), F.size("name") - 1), lambda k: F.struct(k.alias("k"), F.concat(F.get("name", k - 1), F.get("name", k)).alias("token")))).alias("x")).select("spelling", "name", "x.k", "x.token")
+    joined = joined.join(borne, "token", "left_semi").select(
         "spelling", F.concat(F.slice("name", F.lit(1), F.col("k") - 1), F.array("token"), F.slice("name", F.col("k") + 2, F.size("name"))).alias("name"), F.lit(1).alias("slips")
     )
-    choices = at.join(mended(tokens, borne), "token", "left")
+    choices = at.join(mended(at.select("token").distinct(), borne), "token", "left")
     # an odd part stays as a choice of its own: it may be a nickname
     choice = F.concat(F.array(F.struct("token", F.lit(0).alias("slip"))), F.transform(F.coalesce("mends", F.array().cast("array<string>")), lambda t: F.struct(t.alias("token"), F.lit(1).alias("slip"))))
     choices = choices.groupBy("spelling").agg(F.sort_array(F.collect_list(F.struct("k", choice.alias("choice")))).alias("all"))
-    none = F.array(F.struct(F.array().cast("array<string>").alias("name"), F.lit(0).alias("slips")))
-    product = F.aggregate(
-        F.transform("all", lambda x: x["choice"]), none,
-        lambda acc, choice: F.flatten(F.transform(acc, lambda a: F.transform(choice, lambda c: F.struct(F.concat(a["name"], F.array(c["token"])).alias("name"), (a["slips"] + c["slip"]).alias("slips"))))),
-    )
-    rewritten = choices.select("spelling", F.explode(product).alias("x")).select("spelling", "x.name", "x.slips").unionByName(joined)
-    return rewritten.select("spelling", _bag(F.col("name")).alias("form"), "slips").groupBy("spelling", "form").agg(F.min("slips").alias("slips"))
+    ways = F.aggregate("all", F.lit(1.0), lambda acc, x: acc * F.size(x["choice"]))
+    choices = cut(choices.select("spelling", F.transform("all", lambda x: x["choice"]).alias("all"), ways.alias("ways")))
+    rewritten = choices.where(F.col("ways") <= most_in_row).select("spelling", F.explode(_products(F.col("all"))).alias("x")).select("spelling", "x.name", "x.slips")
+    many = _many_ways(choices.where(F.col("ways") > most_in_row), known_forms)
+    rows = rewritten.unionByName(joined).unionByName(many)
+    return rows.select("spelling", _bag(F.col("name")).alias("form"), "slips").groupBy("spelling", "form").agg(F.min("slips").alias("slips"))
+
+
+def _many_ways(choices: DataFrame, known_forms: DataFrame) -> DataFrame:
+    """Rows (spelling, name, slips) of the rewritings that are among known_forms."""
+    have = known_forms.select("form", F.split("form", " ").alias("tokens")).distinct()
+    by_token = have.select("form", "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
+    borne_by = by_token.groupBy("token").agg(F.count("*").alias("forms"))
+    each = choices.select("spelling", F.posexplode("all").alias("k", "choice")).select("spelling", "k", F.explode("choice").alias("c")).select("spelling", "k", "c.token")
+    # a form must have a token of every part, so the part with the fewest forms finds them all
+    reach = each.join(borne_by, "token", "left").groupBy("spelling", "k").agg(F.sum(F.coalesce("forms", F.lit(0))).alias("forms"))
+    anchor = reach.groupBy("spelling").agg(F.min(F.struct("forms", "k")).alias("a")).where("a.forms > 0").select("spelling", "a.k")
+    met = each.join(anchor, ["spelling", "k"]).join(by_token, "token").select("spelling", "form", "tokens").distinct()
+    met = met.join(choices, "spelling").where(F.size("tokens") == F.size("all"))
+    kept = F.transform("all", lambda choice: F.filter(choice, lambda c: F.array_contains(F.col("tokens"), c["token"])))
+    rows = met.select("spelling", "form", F.explode(_products(kept)).alias("x")).select("spelling", "form", "x.name", "x.slips")
+    return rows.where(_bag(F.col("name")) == F.col("form")).select("spelling", "name", "slips")
 
 
 def link_spellings(spellings: DataFrame, persons: DataFrame) -> DataFrame:
@@ -139,15 +172,29 @@ def link_spellings(spellings: DataFrame, persons: DataFrame) -> DataFrame:
 
     spellings has a string column spelling; nulls, blanks and strings without letters
     stand for nobody. A form is first cut down to one row with the number of its
-    persons, so a form that many share never makes pairs. Of a spelling's forms the
-    cheapest that meet anyone count (slips of the pen first, then initials and
-    nicknames); when those meet more than one person, the spelling links to nobody.
+    persons, so a form that many share never makes pairs. Of a spelling's rewritings the
+    least rare that meet anyone count; when those meet more than one person, the spelling
+    links to nobody.
     """
     names = cut(person_names(persons))
-    forms = person_forms(names).groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid"))
-    typed = spelling_forms(spellings.select("spelling").where("spelling IS NOT NULL").distinct(), names)
-    hits = typed.join(forms, "form").withColumn("total", F.col("slips") * 10 + F.col("cost"))
-    least = hits.groupBy("spelling").agg(F.min("total").alias("total"))
-    best = hits.join(least, ["spelling", "total"]).groupBy("spelling")
-    one = best.agg(F.max("pids").alias("pids"), F.min("pid").alias("pid"), F.max("pid").alias("other"))
-    return one.where("pids = 1 AND pid = other").select("spelling", "pid")
+    forms = cut(person_forms(names).groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid")))
+    typed = spelling_forms(spellings.select("spelling").where("spelling IS NOT NULL").distinct(), names, forms)
+    hits = cut(typed.join(forms, "form").select("spelling", "slips", "cost", "pids", "pid"))
+    scored = hits.join(F.broadcast(rarities(hits)), ["slips", "cost"])  # a row for each set of rules
+    best = scored.groupBy("spelling", "rarity").agg(F.max("pids").alias("pids"), F.min("pid").alias("pid"), F.max("pid").alias("other"))
+    best = best.groupBy("spelling").agg(F.min(F.struct("rarity", "pids", "pid", "other")).alias("b")).select("spelling", "b.*")
+    return best.where("pids = 1 AND pid = other").select("spelling", "pid")
+
+
+def rarities(hits: DataFrame) -> DataFrame:
+    """Rows (slips, cost, rarity): bits of surprise that a spelling needs these rules at least.
+
+    A rewriting with more slips is never less rare than one with fewer and the same rules.
+    """
+    needed = hits.groupBy("spelling").agg(F.min(F.struct((F.col("slips") * 10 + F.col("cost")).alias("total"), "slips", "cost")).alias("b")).select("b.slips", "b.cost")
+    counted = hits.select("slips", "cost").distinct().join(needed.groupBy("slips", "cost").agg(F.count("*").alias("n")), ["slips", "cost"], "left")
+    so_far = Window.partitionBy("cost").orderBy("slips")
+    # one row for each number of slips and set of rules, so a window over one partition is small
+    all_ = F.sum(F.coalesce("n", F.lit(0)) + 1).over(Window.partitionBy())
+    counted = counted.withColumn("own", -F.log2((F.coalesce("n", F.lit(0)) + 1) / all_))
+    return counted.select("slips", "cost", F.max("own").over(so_far).alias("rarity"))

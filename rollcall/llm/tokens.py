@@ -15,6 +15,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.lexicon import Lexicon, build, name_of
-from rollcall.session import checkpoint_dir, is_shared_local, spill
+from rollcall.session import checkpoint_dir, local_path, spill
 
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -33,6 +34,8 @@ _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Distinct pieces a worker remembers, and distinct words it counts before it emits.
 _REMEMBERED, _COUNTED = 1_000_000, 500_000
+#: Bytes from which a piece is merged by a heap, and letters from which it is not remembered.
+_LONG = 128
 
 
 class Merger:
@@ -49,6 +52,10 @@ class Merger:
         ranks = self.ranks
         if (whole := ranks.get(token)) is not None:
             return [whole]
+        return self._merge_long(token) if len(token) > _LONG else self._merge_short(token)
+
+    def _merge_short(self, token: bytes) -> list[int]:
+        ranks = self.ranks
         parts = [token[i : i + 1] for i in range(len(token))]
         while len(parts) > 1:
             rank, at = min((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
@@ -57,6 +64,31 @@ class Merger:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [ranks[p] for p in parts]
 
+    def _merge_long(self, token: bytes) -> list[int]:
+        """The same by a heap of neighbouring pairs, in n log n steps."""
+        get, n = self.ranks.get, len(token)
+        end = list(range(1, n + 1))  # of the part that starts here; 0 when it was merged into another
+        before = list(range(-1, n - 1))
+        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := get(token[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, stop = heappop(heap)
+            # a pair counts only while both its parts are as they were
+            if not (mid := end[i]) or mid >= n or end[mid] != stop:
+                continue
+            end[i], end[mid] = stop, 0
+            if stop < n:
+                before[stop] = i
+                if (rank := get(token[i : end[stop]])) is not None:
+                    heappush(heap, (rank, i, end[stop]))
+            if i and (rank := get(token[(left := before[i]) : stop])) is not None:
+                heappush(heap, (rank, left, stop))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[token[i : end[i]]])
+            i = end[i]
+        return out
+
     def ids(self, piece: str) -> tuple[int, ...]:
         return tuple(chain.from_iterable(self.merge(t.encode()) for t in self.split(piece)))
 
@@ -70,6 +102,8 @@ class _Ids(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) >= _REMEMBERED:
             self.clear()
+        if len(piece) > _LONG:
+            return self.merger.ids(piece)  # too rare and too large to be kept
         known = self.lexicon.get(piece[1:].encode()) if self.lexicon and piece[0] == " " else None
         self[piece] = ids = self.merger.ids(piece) if known is None else known
         return ids
@@ -82,7 +116,9 @@ class _Sizes(dict):
     def __missing__(self, piece: str) -> int:
         if len(self) >= _REMEMBERED:
             self.clear()
-        self[piece] = n = len(self.merger.ids(piece))
+        n = len(self.merger.ids(piece))
+        if len(piece) <= _LONG:
+            self[piece] = n
         return n
 
 
@@ -152,7 +188,7 @@ def encode(df: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizers
     spark = df.sparkSession
     path = os.path.join(tokenizers, vocabulary)
     block = compile_lexicon(df, text, path, most_words)
-    folder = is_shared_local(checkpoint_dir(spark))
+    folder = local_path(spark, checkpoint_dir(spark))
     if folder:
         os.makedirs(folder, exist_ok=True)
         shared, mapped = None, os.path.join(folder, name_of(block))

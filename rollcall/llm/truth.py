@@ -19,31 +19,49 @@ from rollcall.session import cut
 PRIOR, LEAST, MOST = 0.8, 0.05, 0.99
 
 
-def discover_truth(claims: DataFrame, tolerance: float = 1e-3, max_rounds: int = 8) -> DataFrame:
+def discover_truth(claims: DataFrame, tolerance: float = 1e-3, max_rounds: int = 200) -> DataFrame:
     """Rows (entity, field, value, support, share): the weight of each claimed value.
 
     claims has entity, field, value and source. Rows with a null entity, field or value
     are no claims; a null source is one source named ''. A source that repeats a claim
     votes once. share is the value's part of all support of its entity and field; one
-    value alone has 1. Ties keep equal support. No claims give no rows.
+    value alone has 1. Ties keep equal support. No claims give no rows. Reliabilities that
+    still move by more than tolerance after max_rounds are an error.
     """
     votes = claims.select("entity", "field", "value", F.coalesce("source", F.lit("")).alias("source"))
     votes = cut(votes.dropna(subset=["entity", "field", "value"]).distinct())
+    alike = cut(_alike(votes))
     trust = cut(votes.select("source", "field").distinct().withColumn("trust", F.lit(PRIOR)))
     for _ in range(max_rounds):
-        weighed = _weigh(votes, trust)
-        seen = votes.join(weighed, ["entity", "field", "value"]).groupBy("source", "field")
+        weighed = _weigh(alike, trust)
+        seen = alike.join(weighed, ["entity", "field", "value"]).groupBy("source", "field")
         # one vote of the prior keeps sources with few claims near it
-        fresh = seen.agg(((F.sum("share") + PRIOR) / (F.count("*") + 1)).alias("next"))
+        fresh = seen.agg(((F.sum(F.col("share") * F.col("n")) + PRIOR) / (F.sum("n") + 1)).alias("next"))
         fresh = fresh.withColumn("next", F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.col("next"))))
         both = cut(trust.join(fresh, ["source", "field"]))
         moved = both.agg(F.max(F.abs(F.col("next") - F.col("trust")))).first()[0]
         trust = both.select("source", "field", F.col("next").alias("trust"))
         if moved is None or moved <= tolerance:
             break
+    else:
+        raise RuntimeError(f"reliabilities have not converged in {max_rounds} rounds")
     return _weigh(votes, trust)
 
 
+def _alike(votes: DataFrame) -> DataFrame:
+    """The votes of one entity for all whose values have the same sources, and n, how many they are.
+
+    The rounds need no more, so their cost follows the number of patterns of agreement. A
+    pattern is told by 128 bits that add up over sources and then values, in any order.
+    """
+    bits = lambda *c: [F.xxhash64(F.lit(k), *c).cast("decimal(20,0)") for k in (1, 2)]
+    add = lambda *c: [F.sum(x).cast("decimal(38,0)").alias(f"h{k}") for k, x in enumerate(bits(*c))]
+    values = votes.groupBy("entity", "field", "value").agg(*add("source"))
+    patterns = values.groupBy("entity", "field").agg(*add("h0", "h1"))
+    one = patterns.groupBy("field", "h0", "h1").agg(F.min("entity").alias("entity"), F.count("*").alias("n")).select("entity", "field", "n")
+    return votes.join(one, ["entity", "field"])
+
+
 def _weigh(votes: DataFrame, trust: DataFrame) -> DataFrame:
     vote = -F.log(F.lit(1.0) - F.col("trust"))
     support = votes.join(trust, ["source", "field"]).groupBy("entity", "field", "value").agg(F.sum(vote).alias("support"))
@@ -73,16 +91,17 @@ def _is_written_out(name: Column) -> Column:
     return ordinary & ~F.lower(F.substring_index(name, " ", 1)).isin(TITLES)
 
 
-def person_claims(persons: DataFrame, shared_by: int = 3) -> DataFrame:
+def person_claims(persons: DataFrame, own_share: float = 1 / 3) -> DataFrame:
     """Rows (pid, field, value, usable, source, rec_id, confidence, built_at), one per claim.
 
     value is the comparable form: name parts, ISO day or address. usable says whether
-    the row's own writing may survive. An address held by shared_by or more pids is a
-    filler whatever its name.
+    the row's own writing may survive. An address of which no pid has more than own_share
+    of the rows is a filler whatever its name.
     """
     as_of = persons.agg(F.max(F.to_date("built_at"))).first()[0]
-    fillers = persons.groupBy("image_url").agg(F.count_distinct("pid").alias("pids"))
-    fillers = fillers.where(F.col("pids") >= shared_by).select("image_url", F.lit(True).alias("shared"))
+    holders = persons.where("pid IS NOT NULL AND image_url IS NOT NULL").groupBy("image_url", "pid").agg(F.count("*").alias("n"))
+    fillers = holders.groupBy("image_url").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+    fillers = fillers.where(F.col("most") <= F.col("all") * own_share).select("image_url", F.lit(True).alias("shared"))
     rows = persons.select("pid", "rec_id", "canonical_name", "dob", "image_url", "confidence", "built_at", "identity_source", "anchor_signal")
     rows = rows.where(F.col("pid").isNotNull()).join(fillers, "image_url", "left")
     rows = rows.withColumn("day", parse_day(F.col("dob")))

@@ -1,9 +1,12 @@
 import datetime as dt
+import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm import matching
-from rollcall.llm.matching import match_candidates, neighbours
+from rollcall.llm.matching import assign, match_candidates, neighbours
 from rollcall.llm.names import link_spellings, parts
 from rollcall.llm.truth import discover_truth, surviving_rows
 
@@ -23,6 +26,36 @@ def test_sources_that_agree_are_believed(spark):
     assert discover_truth(spark.createDataFrame([], "entity string, field string, value string, source string")).collect() == []
 
 
+def test_discovery_against_a_plain_version(spark):
+    r = random.Random(5)
+    claims = {(f"e{r.randint(0, 40)}", r.choice("fg"), r.choice("abc"), r.choice(["s1", "s2", "s3", "s4"])) for _ in range(260)}
+    trust = {(s, f): 0.8 for _, f, _, s in claims}
+    moved = 1
+    while moved > 1e-3:
+        support = {}
+        for e, f, v, s in claims:
+            support[e, f, v] = support.get((e, f, v), 0) - math.log(1 - trust[s, f])
+        total = {}
+        for (e, f, _), x in support.items():
+            total[e, f] = total.get((e, f), 0) + x
+        share = {k: x / total[k[:2]] for k, x in support.items()}
+        shares = {k: [share[e, f, v] for e, f, v, s in claims if (s, f) == k] for k in trust}
+        fresh = {k: min(0.99, max(0.05, (sum(x) + 0.8) / (len(x) + 1))) for k, x in shares.items()}
+        moved, trust = max(abs(fresh[k] - trust[k]) for k in trust), fresh
+    df = spark.createDataFrame(sorted(claims), "entity string, field string, value string, source string")
+    got = {(x.entity, x.field, x.value): x.share for x in discover_truth(df).collect()}
+    assert got.keys() == share.keys() and all(abs(got[k] - share[k]) < 0.01 for k in share)
+    with pytest.raises(RuntimeError, match="converged"):
+        discover_truth(df, max_rounds=1)
+
+
+def test_a_shared_picture_is_a_filler(spark):
+    rows = [person(i, f"p{i // 2}", "Ram Lal", None, "https://h.x/a/7.jpg" if i < 6 else f"https://h.x/a/{i}.jpg") for i in range(8)]
+    rows += [person(20 + i, "q", "Mohan Das", None, "https://h.x/a/own.jpg") for i in range(5)] + [person(30 + i, p, "Hari Das", None, "https://h.x/a/own.jpg") for i, p in enumerate("rrss")]
+    got = {r.pid: r.rec_id for r in surviving_rows(spark.createDataFrame(rows, PERSONS)).collect() if r.field == "image_url"}
+    assert got == {"p3": 6, "q": 20, "r": 30, "s": 32}
+
+
 def test_survivors(spark):
     rows = [
         person(1, "p", "Shri Ram Lal", "1950-01-02", "https://h.x/a/1.jpg", 0.9, 5), person(2, "p", "Ram Lal", "02/01/1950", "https://h.x/a/2.jp", 0.4, 4), person(3, "p", "RAM LAL", "1970-01-01", "https://h.x/a/3.png", 0.8, 3),
@@ -69,6 +102,65 @@ def test_windows_do_not_end_at_partitions(spark):
     assert all({i, i - 1, i + 1} & set(range(300)) <= got[i] for i in range(300)) and all(len(v) <= 4 for v in got.values())
 
 
+@pytest.mark.parametrize("ranges", [1, 4, 32, 200])
+def test_sparse_windows_are_the_same_for_any_ranges(spark, ranges):
+    r = random.Random(8)
+    lefts = [(i, r.choice("ab"), f"{r.randint(0, 50):03d}") for i in range(600)] + [(1000 + i, "a", "025") for i in range(300)]
+    rights = [(str(i), r.choice("abb"), f"{r.randint(0, 60):03d}") for i in range(20)]
+    want = set()
+    for i, g, k in lefts:
+        mine = sorted(x[2] for x in rights if x[1] == g)
+        before = len([x for x in mine if x <= k])
+        near = sorted((x[2], x[0]) for x in rights if x[1] == g)
+        want |= {(i, x[0]) for x in near[max(0, before - 2) : before + 2]}
+    confs = {"spark.sql.shuffle.partitions": str(ranges), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in confs}
+    for c, v in confs.items():
+        spark.conf.set(c, v)
+    try:
+        pairs = [(x.l, x.r) for x in neighbours(spark.createDataFrame(lefts, "l int, g string, k string"), spark.createDataFrame(rights, "r string, g string, k string"), ["g", "k"], 2).collect()]
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    # of equal keys any may be met
+    key = {x[0]: x[1:] for x in rights}
+    assert sorted((i, key[x]) for i, x in pairs) == sorted((i, key[x]) for i, x in want) and len(pairs) == len(set(pairs))
+
+
+def test_auction_against_every_assignment(spark):
+    r = random.Random(2)
+    scored, contests = [], []
+    for g in range(25):
+        people = [f"p{g}.{k}" for k in range(4)]
+        for c in range(r.randint(2, 4)):
+            contests.append((f"c{g}.{c}", g, c))
+            scored += [(f"c{g}.{c}", p, round(r.uniform(1, 9), 2)) for p in r.sample(people, r.randint(1, 3))]
+    points = {(c, p): x for c, p, x in scored}
+
+    def most(cids, taken):
+        if not cids:
+            return 0.0
+        best = most(cids[1:], taken)
+        for (c, p), x in points.items():
+            if c == cids[0] and p not in taken:
+                best = max(best, x + most(cids[1:], taken | {p}))
+        return best
+
+    got = assign(spark.createDataFrame(scored, "cid string, pid string, points double"), spark.createDataFrame(contests, "cid string, seat int, entry int"), ["seat"]).collect()
+    seat = {c: g for c, g, _ in contests}
+    assert len({(seat[x.cid], x.pid) for x in got}) == len(got) == len({x.cid for x in got}) and all(points[x.cid, x.pid] == x.points for x in got)
+    optimum = sum(most(sorted(c for c in seat if seat[c] == g), frozenset()) for g in range(25))
+    assert optimum - 0.05 * len(seat) <= sum(x.points for x in got) <= optimum + 1e-9
+
+
+def test_equal_persons_leave_a_candidate_unmatched(spark):
+    scored = [("a", "p", 5.0), ("a", "q", 5.0), ("b", "p", 7.0), ("c", "r", 4.0), ("c", "s", 4.0), ("d", "t", 6.0), ("e", "t", 6.5)]
+    contests = [("a", 1, 1), ("b", 1, 2), ("c", 2, 1), ("d", 3, 8), ("e", 3, 8)]
+    got = assign(spark.createDataFrame(scored, "cid string, pid string, points double"), spark.createDataFrame(contests, "cid string, seat int, entry int"), ["seat"])
+    # a has only q left; d and e are one result under two ids
+    assert {(x.cid, x.pid) for x in got.collect()} == {("a", "q"), ("b", "p"), ("d", "t"), ("e", "t")}
+
+
 def test_candidates_match_their_persons(spark):
     terms = spark.createDataFrame([("n-0", "Sarva Pradesh", "Munjigarh", "JVP", "1999-05-01"), ("n-1", "Sarva Pradesh", "Old Town", "RSM", "2004-05-01"), ("n-4", "Belanga", "Hill Side", "JVP", "2004-05-01"), ("n-5", "Belanga", "Low Land", "JVP", "2004-05-01")], TERMS)
     tuples = spark.createDataFrame([

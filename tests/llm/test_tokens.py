@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -66,6 +67,18 @@ def test_merges_are_a_round_trip():
         assert b"".join(back[i] for i in m.ids(t or "")).decode() == (t or "")
 
 
+@needs_files
+def test_long_pieces_merge_like_short_ones():
+    m, r = Merger(PATH), random.Random(6)
+    for letters in ("ab", "the ", "aह🌾", "abcdefghijklmnopqrstuvwxyz"):
+        for n in (2, 3, 50, 400):
+            token = "".join(r.choice(letters) for _ in range(n)).encode()
+            assert m._merge_long(token) == m._merge_short(token)
+    began = time.time()
+    assert len(m.ids("".join(r.choice("abcdefgh") for _ in range(300_000)))) > 50_000
+    assert time.time() - began < 20
+
+
 def test_only_the_most_frequent_words_are_kept(spark):
     df = spark.createDataFrame([("a a a a b b c c",), ("a d",), (None,)], "t string")
     counts = word_counts(df, "t")
