@@ -11,18 +11,20 @@ def keep_best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
     The least row is found by a partial aggregate over (order, row), so a hot key is cut
     down before the shuffle and never sorted in one task. order needs ascending,
-    comparable columns; the rest of the row breaks ties.
+    comparable columns; the rest of the row breaks ties, maps as their sorted entries.
     """
-    rest = [c for c in df.columns if c not in keys]
-    sortable = [c for c in rest if df.schema[c].dataType.typeName() != "map"]
-    best = F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *sortable))
-    return df.groupBy(*keys).agg(best.alias("__b")).select(*[F.col(c) if c in keys else F.col("__b")[c].alias(c) for c in df.columns])
+    maps = {c for c in df.columns if df.schema[c].dataType.typeName() == "map"} - set(keys)
+    rest = [F.array_sort(F.map_entries(c)).alias(c) if c in maps else F.col(c) for c in df.columns if c not in keys]
+    best = F.min(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *rest))
+    value = lambda c: F.map_from_entries(F.col("__b")[c]) if c in maps else F.col("__b")[c]
+    return df.groupBy(*keys).agg(best.alias("__b")).select(*[F.col(c) if c in keys else value(c).alias(c) for c in df.columns])
 
 
 def descending(c: Column) -> Column:
-    """A number so negated that the largest comes first and null last."""
-    return F.coalesce(-c.cast("double"), F.lit(float("inf")))
+    """An order of an integral number by which the largest comes first and null last; every bit counts."""
+    return F.struct(c.isNull(), F.bitwise_not(c.cast("long")))
 
 
-def nulls_last(c: Column, last: float = 1e9) -> Column:
-    return F.coalesce(c.cast("double"), F.lit(last))
+def nulls_last(c: Column) -> Column:
+    """An order by which null comes last."""
+    return F.struct(c.isNull(), c)

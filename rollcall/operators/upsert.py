@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.operators.ordinals import number_rows
+
 
 def snapshot_join(old: DataFrame, fresh: DataFrame, keys: list[str], guard: Column | None = None) -> DataFrame:
     """Old and fresh records in one table, each with its origin.
@@ -51,18 +53,9 @@ def insert_or_ignore(table: DataFrame, rows: DataFrame, keys: list[str]) -> Data
 def mint_ids(state: DataFrame, keys: DataFrame, key: str, id_column: str) -> DataFrame:
     """state, and the keys it lacks with the next ids in the order of the key.
 
-    Positions come from a range sort and the sizes of its partitions, which are at most
-    as many as there are partitions, so no task sees all keys.
+    The places of new keys come from a range sort, so no task sees all of them.
     """
-    from pyspark.sql import Window
-
-    from rollcall.session import cut
-
-    start = (state.agg(F.max(id_column)).first()[0] or 0) + 1
+    start = state.agg(F.max(id_column)).first()[0] or 0
     fresh = keys.select(key).where(F.col(key).isNotNull()).distinct().join(state.select(key), key, "left_anti")
-    placed = cut(fresh.repartitionByRange(key).withColumn("p", F.spark_partition_id()))
-    sizes = placed.groupBy("p").count()
-    before = sizes.select("p", F.coalesce(F.sum("count").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    row = F.row_number().over(Window.partitionBy("p").orderBy(key))
-    minted = placed.withColumn("row", row).join(F.broadcast(before), "p")
-    return state.select(key, id_column).unionByName(minted.select(key, (F.col("before") + F.col("row") - 1 + start).cast("long").alias(id_column)))
+    minted = number_rows(fresh, [], [F.col(key)], "place")
+    return state.select(key, id_column).unionByName(minted.select(key, (F.col("place") + start).cast("long").alias(id_column)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import dates, names, places
 from rollcall.operators.dedupe import descending, keep_best, nulls_last
+from rollcall.operators.ordinals import number_rows
 from rollcall.session import load
 
 
@@ -163,15 +164,13 @@ def q_index_totals(spark, sf_dir):
 def q_slim_roster(spark, sf_dir):
     """Each state's roster, sitting first, then by activity and name."""
     t = load(spark, sf_dir, "tenures").where("office_type = 'ls' AND pid IS NOT NULL").groupBy("pid").agg(F.max(F.coalesce("sitting", F.lit(0))).alias("current"), F.sum(F.coalesce("questions_count", F.lit(0)) + F.coalesce("speeches_count", F.lit(0))).alias("activity"), F.min(places.state(F.col("state"))).alias("state"))
-    rank = F.row_number().over(Window.partitionBy("state").orderBy(F.desc("current"), F.desc("activity"), "pid"))
-    return t.withColumn("place", rank)
+    return number_rows(t, ["state"], [F.desc("current"), F.desc("activity"), F.col("pid")], "place")
 
 
 def q_feed_order(spark, sf_dir):
     """Places within each question feed, newest day first, unknown days last."""
     q = load(spark, sf_dir, "ls_questions").select("lok_sabha", "session", "type", "question_no", dates.sort_key(F.col("date"), ".").alias("day")).distinct()
-    rank = F.row_number().over(Window.partitionBy("lok_sabha", "session", "type").orderBy(F.desc("day"), F.desc("question_no")))
-    return q.withColumn("place", rank)
+    return number_rows(q, ["lok_sabha", "session", "type"], [F.desc("day"), F.desc("question_no")], "place")
 
 
 QUERIES = {f.__name__: f for f in (q_last_wins, q_first_wins, q_dedupe_priority, q_cross_house, q_contest_dedupe, q_alias_history, q_latest, q_latest_contest, q_modal, q_counts, q_careers, q_leaderboards, q_party_history, q_stats_counter, q_pivot_feeds, q_roster_rollup, q_ministry, q_ministry_names, q_index_totals, q_slim_roster, q_feed_order)}

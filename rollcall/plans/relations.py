@@ -103,16 +103,21 @@ def q_tokens_df(spark, sf_dir):
     return search.document_frequency(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def _members(index):
+    """A hash of a list's members in any order, added up before the shuffle."""
+    return F.sum(F.conv(F.substring(F.md5(F.col(index).cast("string")), 1, 12), 16, 10).cast("decimal(20,0)")).cast("string")
+
+
 def q_postings_grouped(spark, sf_dir):
-    """The inverted index of each bucket, as the ends and sum of each list."""
+    """The inverted index of each bucket, each list by its length, ends and the hash of its members."""
     p = search.postings(load(spark, sf_dir, "documents"), "doc_id", "text", F.col("bucket"))
-    return p.groupBy("grp", "token").agg(F.count("*").alias("n"), F.min("doc_index").alias("first"), F.max("doc_index").alias("last"), F.sum("doc_index").alias("total"))
+    return p.groupBy("grp", "token").agg(F.count("*").alias("n"), F.min("doc_index").alias("first"), F.max("doc_index").alias("last"), _members("doc_index").alias("members"))
 
 
 def q_postings_positional(spark, sf_dir):
-    """The inverted index in shards of 2500 documents."""
+    """The inverted index in shards of 2500 documents, each list by its length, first and the hash of its members."""
     p = search.positional_postings(load(spark, sf_dir, "documents"), "doc_id", "text")
-    return p.groupBy("shard", "token").agg(F.count("*").alias("n"), F.min("doc_ordinal").alias("first"), F.sum("doc_ordinal").alias("total"))
+    return p.groupBy("shard", "token").agg(F.count("*").alias("n"), F.min("doc_ordinal").alias("first"), _members("doc_ordinal").alias("members"))
 
 
 def q_checks_unique(spark, sf_dir):
@@ -156,6 +161,7 @@ _K = "'ls|LS' || lok_sabha || '_S' || session || '_' || CASE WHEN upper(type) =
 _P = PARTY.format(c="party")
 _SPACED = STATE.replace("state_name", "replace(state_name, '_', ' ')")
 _TOK = "list_distinct(regexp_extract_all(lower(text), '[a-z0-9]{3,}'))"
+_MEMBERS = "cast(sum(cast('0x' || substr(md5(cast(i AS VARCHAR)), 1, 12) AS HUGEINT)) AS VARCHAR)"
 _DF = f"p AS (SELECT doc_id, unnest({_TOK}) AS token FROM documents), f AS (SELECT token, count(*) AS df FROM p GROUP BY token HAVING df >= 2 AND df <= greatest(2, (SELECT count(text) FROM documents) // 2))"
 SQL = {
     "q_four_way_left": "SELECT n_name, p_brand, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY n_name, p_brand",
@@ -170,8 +176,8 @@ SQL = {
     "q_search_source": "WITH b AS (SELECT composite_id, max(text) FILTER (source = 'ls_question_pdf') AS a, max(text) FILTER (source = 'search_head') AS b FROM documents WHERE composite_id IS NOT NULL GROUP BY composite_id) SELECT composite_id, md5(coalesce(a, b)) AS text_hash, CASE WHEN a IS NOT NULL THEN 'scan' ELSE 'head' END AS origin FROM b WHERE a IS NOT NULL OR b IS NOT NULL",
     "q_search_heads": f"SELECT {_GROUP.format(n=1000)} AS grp, count(*) AS n, count(*) FILTER (length(text) > 5000) AS truncated, max(length(substring(text, 1, 5000)))::INT AS longest FROM documents WHERE composite_id IS NOT NULL AND coalesce(text, '') <> '' GROUP BY 1",
     "q_tokens_df": f"WITH {_DF} SELECT * FROM f",
-    "q_postings_grouped": f"WITH d AS (SELECT bucket AS grp, {_TOK} AS t, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> ''), e AS (SELECT grp, unnest(t) AS token, i FROM d WHERE grp IS NOT NULL) SELECT grp, token, count(*) AS n, min(i) AS first, max(i) AS last, cast(sum(i) AS BIGINT) AS total FROM e GROUP BY grp, token",
-    "q_postings_positional": f"WITH {_DF}, d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> '') SELECT i // 2500 AS shard, token, count(*) AS n, min(i) AS first, cast(sum(i) AS BIGINT) AS total FROM p JOIN f USING (token) JOIN d USING (doc_id) GROUP BY 1, 2",
+    "q_postings_grouped": f"WITH d AS (SELECT bucket AS grp, {_TOK} AS t, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> ''), e AS (SELECT grp, unnest(t) AS token, i FROM d) SELECT grp, token, count(*) AS n, min(i) AS first, max(i) AS last, {_MEMBERS} AS members FROM e GROUP BY grp, token",
+    "q_postings_positional": f"WITH {_DF}, d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> '') SELECT i // 2500 AS shard, token, count(*) AS n, min(i) AS first, {_MEMBERS} AS members FROM p JOIN f USING (token) JOIN d USING (doc_id) GROUP BY 1, 2",
     "q_checks_unique": "SELECT 'two_sitting' AS what, count(*) AS n FROM (SELECT pid FROM tenures WHERE sitting = 1 GROUP BY pid HAVING count(*) > 1) UNION ALL SELECT 'term_twice', count(*) FROM (SELECT 1 FROM tenures GROUP BY office_type, jurisdiction, external_id, term_label HAVING count(*) > 1) UNION ALL SELECT 'question_twice', count(*) FROM (SELECT 1 FROM ls_questions GROUP BY lok_sabha, session, type, question_no HAVING count(*) > 1) UNION ALL SELECT 'seat_twice', count(*) FROM (SELECT 1 FROM tcpd_tuples GROUP BY pid, year, state_name, constituency_name HAVING count(*) > 1) UNION ALL SELECT 'two_owners', count(*) FROM (SELECT 1 FROM tcpd_tuples GROUP BY year, state_name, constituency_name, position HAVING count(DISTINCT pid) > 1)",
     "q_checks_outliers": "SELECT 'outlier' AS what, pid, count(*) AS terms, count(DISTINCT party_short) AS parties FROM tenures WHERE pid IS NOT NULL GROUP BY pid HAVING terms > 12 OR parties > 5 UNION ALL SELECT 'source', coalesce(identity_source, '-'), count(*), count(DISTINCT pid) FROM persons GROUP BY 2",
     "q_checks_fixtures": "WITH t AS (SELECT * FROM tenures WHERE office_type = 'ls' AND pid IS NOT NULL), e AS (SELECT DISTINCT pid, term_label FROM t WHERE sitting = 1), f AS (SELECT DISTINCT pid, term_label FROM t WHERE status = 'Sitting') SELECT 'missing' AS side, * FROM (SELECT * FROM e EXCEPT SELECT * FROM f) UNION ALL SELECT 'unexpected', * FROM (SELECT * FROM f EXCEPT SELECT * FROM e)",

@@ -11,17 +11,19 @@ from rollcall.streaming.upsert import state_folder, stream_upsert
 
 
 def q_stream_upsert(spark, sf_dir):
-    """The last event of each user, kept up as a stream."""
+    """The last event of each user, kept up as a stream of several files with late rows."""
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    schema = load(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir).select(*columns)
-    last = stream_upsert(stream, ["user_id"], [descending(F.unix_micros(F.col("ts").cast("timestamp"))), descending(F.col("event_id"))], state_folder(spark))
+    events, source = load(spark, sf_dir, "events").select(*columns), state_folder(spark)
+    # four arrivals, of which each has events from all days
+    events.repartition(4, "event_id").write.parquet(f"{source}/arrived")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{source}/arrived")
+    last = stream_upsert(stream, ["user_id"], [descending(F.unix_micros(F.col("ts").cast("timestamp"))), descending(F.col("event_id"))], source)
     return last.select("user_id", "event_id", "event_type", "value")
 
 
 def q_html_parsed(spark, sf_dir):
-    """Bodies of debates by the parser, and their outcome."""
-    d = load(spark, sf_dir, "documents").where("source = 'ls_debate_html'").select("doc_id", parsed_html(F.col("text")).alias("plain"))
+    """Bodies of all documents by the parser, and whether anything is left."""
+    d = load(spark, sf_dir, "documents").select("doc_id", parsed_html(F.col("text")).alias("plain"))
     return d.select("doc_id", F.length("plain").alias("n_chars"), F.when(F.coalesce("plain", F.lit("")) == "", "empty").otherwise("text").alias("status"))
 
 
