@@ -35,13 +35,13 @@ STEP = 0.05
 _AT_ONCE = 50_000
 
 
-def neighbours(left: DataFrame, right: DataFrame, keys: list[str], window: int = WINDOW, screen=None) -> DataFrame:
+def neighbours(left: DataFrame, right: DataFrame, keys: list[str], window: int = WINDOW, within: str | None = None, screen=None) -> DataFrame:
     """Rows (l, r): each left id with the right ids nearest to it in the order of keys.
 
     left has l, right has r, both have the columns keys (no nulls). A left record meets
-    the window right records before it and the window ones after it, as far as the first
-    key is the same; of equal keys the right ones come first. Repeated records are met
-    repeatedly. screen(left, right) may refuse pairs: it gets the other columns of both
+    the window right records before it and the window ones after it; within, if given, is
+    the first key, and only records with the same one meet. Of equal keys the right ones come
+    first. Repeated records are met repeatedly. screen(left, right) may refuse pairs: it gets the other columns of both
     as dicts of arrays, a row for each pair, and returns which stay. A task holds the
     columns of one range without its keys; of other ranges it gets window records of each.
     """
@@ -51,7 +51,7 @@ def neighbours(left: DataFrame, right: DataFrame, keys: list[str], window: int =
     order = [*keys, "side", F.xxhash64("l", "r")]
     ranged = both.repartitionByRange(*order).sortWithinPartitions(*order)
     # the place must not change if a task runs again
-    placed = cut(ranged.select(F.spark_partition_id().alias("p"), "side", F.col(keys[0]).alias("grp"), "l", "r", *[f"{s}_{c}" for s in extra for c in extra[s]]))
+    placed = cut(ranged.select(F.spark_partition_id().alias("p"), "side", (F.col(within) if within else F.lit(0)).alias("grp"), "l", "r", *[f"{s}_{c}" for s in extra for c in extra[s]]))
     sent = ["grp", "r", *(f"right_{c}" for c in extra["right"])]
     rights = placed.where("side = 0").select("p", *sent)
 
@@ -277,7 +277,7 @@ def _met(rows: DataFrame, people: DataFrame, window: int) -> DataFrame:
     )
     signs = ["r", "a", "b", "fa", "fb", "last", "first", "letter"]
     person = person.select(*signs, "name", F.col("t.state").alias("state"), F.col("t.seat").alias("seat")).select(*signs, placed.alias("x")).select(*signs, "x.*").distinct()
-    return neighbours(left, person, keys, window, _may_be_alike).distinct().select(F.col("l").alias("tuple_id"), F.col("r").alias("pid"))
+    return neighbours(left, person, keys, window, "k", _may_be_alike).distinct().select(F.col("l").alias("tuple_id"), F.col("r").alias("pid"))
 
 
 def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:

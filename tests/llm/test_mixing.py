@@ -17,7 +17,7 @@ def test_mix_against_its_targets(spark):
     docs = [(i, r.choice("aaaaaaabbc"), r.randint(0, 60), "clash") for i in range(2000)]
     docs += [(5000 + i, None, 5, None) for i in range(10)]
     targets = [("a", 0.4, 1), ("b", 0.4, 3), ("c", 0.2, 2), ("none", 0.1, 5), ("a", 0.4, 1)]
-    mixed, report = mix(spark.createDataFrame(docs, SIZED), spark.createDataFrame(targets, TARGETS), buckets=8)
+    mixed, report = mix(spark.createDataFrame(docs, SIZED), spark.createDataFrame(targets, TARGETS), bucket_rows=100)
     rows = mixed.collect()
     shares = {x.source: x for x in report.collect()}
     have = {s: sum(n for _, t, n, _ in docs if t == s) for s in "abc"}

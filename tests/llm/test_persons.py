@@ -102,23 +102,22 @@ def test_windows_do_not_end_at_partitions(spark):
     assert all({i, i - 1, i + 1} & set(range(300)) <= got[i] for i in range(300)) and all(len(v) <= 4 for v in got.values())
 
 
-@pytest.mark.parametrize("ranges", [1, 4, 32, 200])
+@pytest.mark.parametrize("ranges", [1, 40])
 def test_sparse_windows_are_the_same_for_any_ranges(spark, ranges):
     r = random.Random(8)
     lefts = [(i, r.choice("ab"), f"{r.randint(0, 50):03d}") for i in range(600)] + [(1000 + i, "a", "025") for i in range(300)]
     rights = [(str(i), r.choice("abb"), f"{r.randint(0, 60):03d}") for i in range(20)]
     want = set()
     for i, g, k in lefts:
-        mine = sorted(x[2] for x in rights if x[1] == g)
-        before = len([x for x in mine if x <= k])
+        before = len([x for x in rights if x[1] == g and x[2] <= k])
         near = sorted((x[2], x[0]) for x in rights if x[1] == g)
-        want |= {(i, x[0]) for x in near[max(0, before - 2) : before + 2]}
+        want |= {(i, x[1]) for x in near[max(0, before - 2) : before + 2]}
     confs = {"spark.sql.shuffle.partitions": str(ranges), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {c: spark.conf.get(c) for c in confs}
     for c, v in confs.items():
         spark.conf.set(c, v)
     try:
-        pairs = [(x.l, x.r) for x in neighbours(spark.createDataFrame(lefts, "l int, g string, k string"), spark.createDataFrame(rights, "r string, g string, k string"), ["g", "k"], 2).collect()]
+        pairs = [(x.l, x.r) for x in neighbours(spark.createDataFrame(lefts, "l int, g string, k string"), spark.createDataFrame(rights, "r string, g string, k string"), ["g", "k"], 2, "g").collect()]
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
