@@ -72,22 +72,35 @@ def q_fuzzy(spark, sf_dir):
     return resolve.resolve(m, forms)
 
 
+CONTEST = ["year", "state_name", "constituency_name"]
+
+
 def q_name_score(spark, sf_dir):
-    """Agreement of the two candidates with most votes in each contest."""
-    c = load(spark, sf_dir, "tcpd_tuples").select("year", "state_name", "constituency_name", "position", names.name_tokens(F.col("candidate")).alias("t"), "tuple_id")
-    k = ["year", "state_name", "constituency_name"]
-    one = lambda p, n: keep_best(c.where(f"position = {p}").select(*k, "tuple_id", "t"), k, [F.col("tuple_id")]).select(*k, F.col("t").alias(n))
-    return one(1, "a").join(one(2, "b"), k).select(*k, names.name_score(F.col("a"), F.col("b")).alias("score"), names.strong_name(F.col("a"), F.col("b")).alias("strong"))
+    """Agreement of each candidate's name with the one of the contest's winner."""
+    c = load(spark, sf_dir, "tcpd_tuples").select(*CONTEST, "position", names.name_tokens(F.col("candidate")).alias("t"), "tuple_id")
+    won = keep_best(c.where("position = 1").select(*CONTEST, "tuple_id", "t"), CONTEST, [F.col("tuple_id")]).select(*CONTEST, F.col("t").alias("w"))
+    return c.join(won, CONTEST).select("tuple_id", names.name_score(F.col("t"), F.col("w")).alias("score"), names.strong_name(F.col("t"), F.col("w")).alias("strong"))
+
+
+# planted rows, as the tables have none for two of the rules: (row_id, is of the newest year, seat, party, name, won, source_id)
+PLANTED = [(-1, True, "alpha", "P", "gopal ram", False, "T1"), (-2, True, "bangalore cent", "P", "hari zed", True, None), (-3, False, "beta", "Q", "x", False, "T2"), (-4, True, "old", "Z", "gopal ram", False, "T9"), (-5, True, "gamma", "R", "y", True, "T3"), (-6, False, "delta", "R", "y", False, "T3"), (-7, True, "none", "Z", "n", False, "T8")]
+PLANTED_TERMS = [("p-a", "alpha", "P", "gopal ram"), ("p-b", "bangalore central", "P", "hari zed")]
+PLANTED_PAST, PLANTED_LINK = [("p-a", "old", "gopal ram")], [("T2", "p-c")]
 
 
 def _waterfall(spark, sf_dir):
     state = lambda c: places.state(F.regexp_replace(c, "_", " "))
-    rows = load(spark, sf_dir, "tcpd_tuples").select(F.col("tuple_id").alias("row_id"), "year", state("state_name").alias("state"), places.constituency(F.col("constituency_name")).alias("seat"), places.party(F.col("party")).alias("party"), names.name_set(F.col("candidate")).alias("name"), F.coalesce(F.col("position") == 1, F.lit(False)).alias("won"), F.col("pid").alias("source_id"))
+    c = load(spark, sf_dir, "tcpd_tuples")
+    newest = c.agg(F.max("year")).first()[0]
+    rows = c.select(F.col("tuple_id").alias("row_id"), "year", state("state_name").alias("state"), places.constituency(F.col("constituency_name")).alias("seat"), places.party(F.col("party")).alias("party"), names.name_set(F.col("candidate")).alias("name"), F.coalesce(F.col("position") == 1, F.lit(False)).alias("won"), F.col("pid").alias("source_id"))
     person = keep_best(load(spark, sf_dir, "persons").select("pid", "canonical_name", "rec_id"), ["pid"], [F.col("rec_id")])
     terms = load(spark, sf_dir, "tenures").where("office_type IN ('ls', 'ac')").join(person, "pid").select("pid", F.year(dates.parse_day(F.col("term_start"))).alias("year"), state("state").alias("state"), places.constituency(F.col("constituency")).alias("seat"), places.party(F.col("party_short")).alias("party"), names.name_set(F.col("canonical_name")).alias("name"))
     bridge = load(spark, sf_dir, "persons").where("rs_tcpd_id IS NOT NULL").select(F.col("rs_tcpd_id").alias("source_id"), "pid")
-    newest = rows.agg(F.max("year")).first()[0]
-    return attribute(rows, terms, bridge, terms.select("pid", "state", "seat", "name"), newest)
+    planted = spark.createDataFrame([(r[0], newest if r[1] else newest - 5, "planted", *r[2:]) for r in PLANTED], "row_id long, year int, state string, seat string, party string, name string, won boolean, source_id string")
+    terms_ = spark.createDataFrame([(p, newest, "planted", *rest) for p, *rest in PLANTED_TERMS], "pid string, year int, state string, seat string, party string, name string")
+    past = terms.select("pid", "state", "seat", "name").unionByName(spark.createDataFrame([(p, "planted", *rest) for p, *rest in PLANTED_PAST], "pid string, state string, seat string, name string"))
+    bridge = bridge.unionByName(spark.createDataFrame(PLANTED_LINK, "source_id string, pid string"))
+    return attribute(rows.unionByName(planted), terms.unionByName(terms_), bridge, past, newest)
 
 
 def q_waterfall(spark, sf_dir):
@@ -102,13 +115,64 @@ def q_waterfall_counts(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (q_components, q_bipartite_components, q_aliases, q_person_fields, q_unified_master, q_lookup_exact, q_fuzzy, q_name_score, q_waterfall, q_waterfall_counts)}
 
-from rollcall.plans.scalars import _H, BAG, NORMAL, STATE, STRICT  # noqa: E402
+from rollcall.plans.intervals import _day  # noqa: E402
+from rollcall.plans.scalars import _H, BAG, CONS, NORMAL, PARTY, SET, STATE, STRICT, TOKENS  # noqa: E402
 
 _KEY = f"coalesce(lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(canonical_name), '^([^,]+),\\s*(.+)$', '\\2 \\1'), '(?i)^\\s*{_H}\\s+', ''), '(?i)\\s+{_H}\\s*$', ''), '[^a-zA-Z0-9\\s]+', ' ', 'g'), '\\s+', ' ', 'g'))), '')"
 _BAG = BAG.format(c="canonical_name")
 _DAY = STRICT.format(c="dob")
 _REACH = "r AS (SELECT node, node AS seen FROM (SELECT a AS node FROM e UNION SELECT b FROM e) UNION SELECT r.node, x.b FROM r JOIN (SELECT a, b FROM e UNION SELECT b, a FROM e) x ON x.a = r.seen)"
+_COMMON = ", ".join(f"'{t}'" for t in names.COMMON_TOKENS)
+
+
+def _rare(tokens: str) -> str:
+    return f"list_filter({tokens}, lambda t: length(t) > 1 AND t NOT IN ({_COMMON}))"
+
+
+def _any(list_: str, name: str, condition: str) -> str:
+    return f"len(list_filter({list_}, lambda {name}: {condition})) > 0"
+
+
+def _score(x: str, y: str) -> str:
+    """The agreement of two lists of rare tokens."""
+    common = _any(x, "t", "length(t) >= 6 AND " + _any(y, "u", "length(u) >= 6 AND " + _any("range(1, length(t) - 4)", "i", "contains(u, substr(t, i, 6))")))
+    joined = lambda a, b: _any(a, "t", "length(t) >= 6 AND " + _any(b, "u", _any(b, "v", "u <> v AND u || v = t")))
+    return f"CASE WHEN len({x}) = 0 OR len({y}) = 0 THEN 0.0 WHEN list_sort({x}) = list_sort({y}) THEN 1.0 WHEN list_has_any({x}, {y}) THEN 0.8 WHEN {common} OR {joined(x, y)} OR {joined(y, x)} THEN 0.6 ELSE 0.0 END::DOUBLE"
+
+
+def _strong(x: str, y: str) -> str:
+    return f"((len({x}) > 0 AND list_sort({x}) = list_sort({y})) OR (len({x}) >= 2 AND len({y}) >= 2 AND (list_has_all({y}, {x}) OR list_has_all({x}, {y}))))"
+
+
+def _literals(rows: list[tuple]) -> str:
+    text = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, (bool, int)) else f"'{v}'"
+    return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+
+
+_SPACED = lambda c: STATE.replace("state_name", f"replace({c}, '_', ' ')")
+_WATERFALL = f"""z AS (SELECT max(year) AS newest FROM tcpd_tuples),
+r0 AS (SELECT tuple_id AS row_id, year, {_SPACED("state_name")} AS state, {CONS.format(c="constituency_name")} AS seat, {PARTY.format(c="party")} AS party, {SET.format(c="candidate")} AS name, coalesce(position = 1, false) AS won, pid AS source_id FROM tcpd_tuples
+ UNION ALL SELECT row_id, CASE WHEN is_new THEN newest ELSE newest - 5 END, 'planted', seat, party, name, won, source_id FROM (VALUES {_literals(PLANTED)}) v(row_id, is_new, seat, party, name, won, source_id), z),
+r AS (SELECT *, {_rare("string_split(name, ' ')")} AS x FROM r0),
+p1 AS (SELECT pid, canonical_name FROM persons WHERE rec_id IN (SELECT min(rec_id) FROM persons GROUP BY pid)),
+t0 AS (SELECT pid AS owner, year({_day("term_start")}) AS year, {_SPACED("state")} AS state, {CONS.format(c="constituency")} AS seat, {PARTY.format(c="party_short")} AS party, {SET.format(c="canonical_name")} AS name FROM tenures JOIN p1 USING (pid) WHERE office_type IN ('ls', 'ac')),
+t AS (SELECT DISTINCT *, {_rare("string_split(name, ' ')")} AS y FROM (SELECT * FROM t0 UNION ALL SELECT owner, newest, 'planted', seat, party, name FROM (VALUES {_literals(PLANTED_TERMS)}) v(owner, seat, party, name), z)),
+h AS (SELECT DISTINCT owner, state, seat, {_rare("string_split(name, ' ')")} AS y FROM (SELECT owner, state, seat, name FROM t0 UNION ALL SELECT owner, 'planted', seat, name FROM (VALUES {_literals(PLANTED_PAST)}) v(owner, seat, name))),
+e AS (SELECT row_id, owner, x, y, r.party, t.party AS t_party FROM r JOIN t ON r.year = t.year AND r.state = t.state AND r.seat = t.seat),
+n AS (SELECT row_id, owner, x, y, r.party, t.party AS t_party FROM r JOIN t ON r.year = t.year AND r.state = t.state AND length(r.seat) >= 12 AND length(t.seat) >= 12 AND (starts_with(r.seat, t.seat) OR starts_with(t.seat, r.seat)) WHERE row_id NOT IN (SELECT row_id FROM e)),
+s AS (SELECT row_id, owner, {_score("x", "y")} + CASE WHEN party <> '' AND party = t_party THEN 0.5 ELSE 0.0 END::DOUBLE AS points FROM (SELECT * FROM e UNION ALL SELECT * FROM n)),
+a AS (SELECT row_id, owner, 'A' AS method FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY points DESC, owner) AS k FROM s WHERE points >= 1) WHERE k = 1),
+b AS (SELECT row_id, k.owner, 'B' AS method FROM r JOIN (SELECT source_id, min(pid) AS owner FROM (SELECT rs_tcpd_id AS source_id, pid FROM persons WHERE rs_tcpd_id IS NOT NULL UNION ALL VALUES {_literals(PLANTED_LINK)}) GROUP BY source_id) k USING (source_id) WHERE row_id NOT IN (SELECT row_id FROM a)),
+d AS (SELECT row_id, min(h.owner) AS owner, 'D' AS method FROM r JOIN h ON r.state = h.state AND r.seat = h.seat AND {_strong("x", "y")} WHERE year = (SELECT newest FROM z) AND row_id NOT IN (SELECT row_id FROM a UNION SELECT row_id FROM b) GROUP BY row_id),
+l AS (SELECT * FROM r WHERE row_id NOT IN (SELECT row_id FROM a UNION SELECT row_id FROM b UNION SELECT row_id FROM d)),
+w AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM d UNION ALL SELECT row_id, 'TCPD:' || source_id, 'C' FROM l WHERE source_id IN (SELECT source_id FROM l WHERE won AND source_id IS NOT NULL))"""
+_TOK = TOKENS.format(c="candidate")
 SQL = {
+    "q_name_score": f"""WITH c AS (SELECT tuple_id, year, state_name, constituency_name, position, {_rare(f"list_sort(list_distinct({_TOK}))")} AS x FROM tcpd_tuples),
+w AS (SELECT year, state_name, constituency_name, arg_min(x, tuple_id) AS y FROM c WHERE position = 1 GROUP BY ALL)
+SELECT tuple_id, {_score("coalesce(x, [])", "coalesce(y, [])")} AS score, {_strong("coalesce(x, [])", "coalesce(y, [])")} AS strong FROM c JOIN w USING (year, state_name, constituency_name)""",
+    "q_waterfall": f"WITH {_WATERFALL} SELECT * FROM w",
+    "q_waterfall_counts": f"WITH {_WATERFALL} SELECT method, count(*) AS n FROM w GROUP BY method",
     "q_components": f"WITH RECURSIVE p AS (SELECT pid, {_BAG} AS bag, {_DAY} AS day FROM persons WHERE pid IS NOT NULL), e AS (SELECT DISTINCT min(pid) OVER (PARTITION BY bag, day) AS a, pid AS b FROM p WHERE bag <> '' AND day IS NOT NULL UNION SELECT pid, pid FROM p WHERE bag <> ''), {_REACH} SELECT node AS pid, min(seen) AS component FROM r GROUP BY node",
     "q_bipartite_components": f"WITH RECURSIVE c AS (SELECT pid, {BAG.format(c='candidate')} || '|' || {STATE} AS k FROM tcpd_tuples WHERE pid IS NOT NULL), e AS (SELECT DISTINCT min(pid) OVER (PARTITION BY k) AS a, pid AS b FROM c), {_REACH} SELECT node AS pid, min(seen) AS component FROM r GROUP BY node",
     "q_aliases": f"WITH o AS (SELECT pid, min({_KEY}) AS key, min({_DAY}) AS day FROM persons WHERE pid IS NOT NULL AND {_KEY} <> '' GROUP BY pid), d AS (SELECT key, count(DISTINCT day) AS days, min(pid) AS least FROM o GROUP BY key), s AS (SELECT key, day, min(pid) AS lod FROM o WHERE day IS NOT NULL GROUP BY key, day), j AS (SELECT o.pid, CASE WHEN days >= 2 THEN coalesce(lod, o.pid) ELSE least END AS canonical FROM o JOIN d USING (key) LEFT JOIN s ON s.key = o.key AND s.day = o.day) SELECT * FROM j WHERE pid <> canonical",

@@ -19,7 +19,7 @@ def q_four_way_left(spark, sf_dir):
 
 
 def q_in_subquery(spark, sf_dir):
-    """Rows of a given party or of a candidate who ever won."""
+    """Rows of a given party or of a candidate who ever won."""
     c = load(spark, sf_dir, "tcpd_tuples")
     winners = c.where("position = 1 AND pid IS NOT NULL").select("pid").distinct().withColumn("is_winner", F.lit(True))
     j = c.join(winners, "pid", "left").where(F.coalesce("is_winner", F.lit(False)) | (places.party(F.col("party")) == "IND"))
@@ -52,7 +52,7 @@ def q_set_diff(spark, sf_dir):
 
 
 def q_token_sets(spark, sf_dir):
-    """Pids whose names have other tokens, and the union of all variants."""
+    """The union of the tokens of all names of a pid."""
     n = load(spark, sf_dir, "persons").where("pid IS NOT NULL").select("pid", names.name_tokens(F.col("canonical_name")).alias("t"))
     every = n.select("pid", F.explode("t").alias("token")).groupBy("pid").agg(F.array_join(F.array_sort(F.collect_set("token")), " ").alias("tokens"), F.count_distinct("token").alias("n"))
     return every
@@ -121,7 +121,7 @@ def q_postings_positional(spark, sf_dir):
 
 
 def q_checks_unique(spark, sf_dir):
-    """Keys that should be unique, and how often they are not."""
+    """Keys that should be unique, and how often they are not."""
     t, c, q = load(spark, sf_dir, "tenures"), load(spark, sf_dir, "tcpd_tuples"), load(spark, sf_dir, "ls_questions")
     many = lambda df, keys, name: df.groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
     owners = c.groupBy("year", "state_name", "constituency_name", "position").agg(F.count_distinct("pid").alias("o")).where("o > 1").agg(F.count("*").alias("n")).select(F.lit("two_owners").alias("what"), "n")
@@ -135,13 +135,12 @@ def q_checks_outliers(spark, sf_dir):
     return t.where("terms > 12 OR parties > 5").select(F.lit("outlier").alias("what"), "pid", "terms", "parties").union(p.select(F.lit("source"), "pid", "terms", "parties"))
 
 
-def q_checks_fixtures(spark, sf_dir):
-    """Expected members against those found, both ways."""
-    t = load(spark, sf_dir, "tenures").where("office_type = 'ls' AND pid IS NOT NULL")
-    expected = t.where("sitting = 1").select("pid", "term_label").distinct()
-    found = t.where("status = 'Sitting'").select("pid", "term_label").distinct()
-    side = lambda df, s: df.select(F.lit(s).alias("side"), "pid", "term_label")
-    return side(expected.subtract(found), "missing").union(side(found.subtract(expected), "unexpected"))
+def q_name_pairs(spark, sf_dir):
+    """Of each pid its first and last name by spelling: equal, meeting, contained token sets and shared tokens."""
+    n = load(spark, sf_dir, "persons").where("pid IS NOT NULL AND canonical_name IS NOT NULL").select("pid", "canonical_name", names.name_tokens(F.col("canonical_name")).alias("t"))
+    p = n.groupBy("pid").agg(F.min_by("t", "canonical_name").alias("a"), F.max_by("t", "canonical_name").alias("b"))
+    text = lambda c: F.array_join(c, " ")
+    return p.select("pid", (F.col("a") == F.col("b")).alias("same"), F.arrays_overlap("a", "b").alias("meets"), (F.size(F.array_except("a", "b")) == 0).alias("is_within"), names.shared_tokens(text("a"), text("b")).alias("shared"))
 
 
 def q_constraints(spark, sf_dir):
@@ -153,7 +152,7 @@ def q_constraints(spark, sf_dir):
     return count(p.where(~F.col("identity_source").isin(sources)), "source").union(count(p.where("canonical_name IS NULL OR slug IS NULL"), "not_null")).union(count(orphan, "foreign_key")).union(count(p.where("confidence < 0 OR confidence > 1"), "range"))
 
 
-QUERIES = {f.__name__: f for f in (q_four_way_left, q_in_subquery, q_unmatched, q_prefix_join, q_set_diff, q_token_sets, q_filters, q_fold_aliases, q_split_override, q_search_source, q_search_heads, q_tokens_df, q_postings_grouped, q_postings_positional, q_checks_unique, q_checks_outliers, q_checks_fixtures, q_constraints)}
+QUERIES = {f.__name__: f for f in (q_four_way_left, q_in_subquery, q_unmatched, q_prefix_join, q_set_diff, q_token_sets, q_filters, q_fold_aliases, q_split_override, q_search_source, q_search_heads, q_tokens_df, q_postings_grouped, q_postings_positional, q_checks_unique, q_checks_outliers, q_name_pairs, q_constraints)}
 
 from rollcall.plans.scalars import _GROUP, CONS, PARTY, STATE, TOKENS  # noqa: E402
 
@@ -180,6 +179,8 @@ SQL = {
     "q_postings_positional": f"WITH {_DF}, d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> '') SELECT i // 2500 AS shard, token, count(*) AS n, min(i) AS first, {_MEMBERS} AS members FROM p JOIN f USING (token) JOIN d USING (doc_id) GROUP BY 1, 2",
     "q_checks_unique": "SELECT 'two_sitting' AS what, count(*) AS n FROM (SELECT pid FROM tenures WHERE sitting = 1 GROUP BY pid HAVING count(*) > 1) UNION ALL SELECT 'term_twice', count(*) FROM (SELECT 1 FROM tenures GROUP BY office_type, jurisdiction, external_id, term_label HAVING count(*) > 1) UNION ALL SELECT 'question_twice', count(*) FROM (SELECT 1 FROM ls_questions GROUP BY lok_sabha, session, type, question_no HAVING count(*) > 1) UNION ALL SELECT 'seat_twice', count(*) FROM (SELECT 1 FROM tcpd_tuples GROUP BY pid, year, state_name, constituency_name HAVING count(*) > 1) UNION ALL SELECT 'two_owners', count(*) FROM (SELECT 1 FROM tcpd_tuples GROUP BY year, state_name, constituency_name, position HAVING count(DISTINCT pid) > 1)",
     "q_checks_outliers": "SELECT 'outlier' AS what, pid, count(*) AS terms, count(DISTINCT party_short) AS parties FROM tenures WHERE pid IS NOT NULL GROUP BY pid HAVING terms > 12 OR parties > 5 UNION ALL SELECT 'source', coalesce(identity_source, '-'), count(*), count(DISTINCT pid) FROM persons GROUP BY 2",
-    "q_checks_fixtures": "WITH t AS (SELECT * FROM tenures WHERE office_type = 'ls' AND pid IS NOT NULL), e AS (SELECT DISTINCT pid, term_label FROM t WHERE sitting = 1), f AS (SELECT DISTINCT pid, term_label FROM t WHERE status = 'Sitting') SELECT 'missing' AS side, * FROM (SELECT * FROM e EXCEPT SELECT * FROM f) UNION ALL SELECT 'unexpected', * FROM (SELECT * FROM f EXCEPT SELECT * FROM e)",
+    "q_name_pairs": f"""WITH n AS (SELECT pid, list_sort(list_distinct({TOKENS.format(c='canonical_name')})) AS t, canonical_name FROM persons WHERE pid IS NOT NULL AND canonical_name IS NOT NULL),
+p AS (SELECT pid, arg_min(t, canonical_name) AS a, arg_max(t, canonical_name) AS b FROM n GROUP BY pid)
+SELECT pid, a = b AS same, list_has_any(a, b) AS meets, list_has_all(b, a) AS is_within, len(list_filter(list_intersect(a, b), lambda x: length(x) >= 3))::INT AS shared FROM p""",
     "q_constraints": "SELECT 'source' AS rule, count(*) AS n FROM persons WHERE identity_source NOT IN ('both', 'dob_only', 'tcpd_only', 'fallback', 'tcpd_backfill', 'rs_tcpd') UNION ALL SELECT 'not_null', count(*) FROM persons WHERE canonical_name IS NULL OR slug IS NULL UNION ALL SELECT 'foreign_key', count(*) FROM tenures WHERE pid IS NULL OR pid NOT IN (SELECT pid FROM persons WHERE pid IS NOT NULL) UNION ALL SELECT 'range', count(*) FROM persons WHERE confidence < 0 OR confidence > 1",
 }
