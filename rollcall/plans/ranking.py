@@ -91,12 +91,12 @@ def _careers(spark, sf_dir):
 
 
 def q_careers(spark, sf_dir):
-    """One wide row for each candidate."""
+    """One wide row for each candidate."""
     return _careers(spark, sf_dir)
 
 
 def q_leaderboards(spark, sf_dir):
-    """Boards of a hundred, in one table."""
+    """Boards of a hundred, in one table."""
     c = _careers(spark, sf_dir)
     boards = [("turncoats", c.where("n_parties > 1"), ["n_parties", "contests"]), ("seat_hoppers", c.where("n_seats > 1"), ["n_seats", "contests"]), ("veterans", c, ["contests", "wins"]), ("top_winners", c.where("wins > 0"), ["wins", "contests"])]
     out = None
@@ -114,14 +114,14 @@ def q_party_history(spark, sf_dir):
 
 
 def q_stats_counter(spark, sf_dir):
-    """Questions of each ministry with at least one member, most first."""
+    """Questions of each ministry with at least one member, most first."""
     q = load(spark, sf_dir, "ls_questions").where(F.exists("members", lambda m: F.trim(m) != ""))
     n = q.groupBy(F.lower(F.trim("ministry")).alias("ministry")).agg(F.count("*").alias("n"), F.count_distinct("session").alias("sessions"))
     return n
 
 
 def q_pivot_feeds(spark, sf_dir):
-    """What each spelling of a member asked; twice in a record counts twice."""
+    """what each spelling of a member asked; twice in a record counts twice."""
     q = load(spark, sf_dir, "ls_questions").select("lok_sabha", "type", F.explode("members").alias("member")).where("trim(member) <> ''")
     return q.groupBy("member").agg(F.count("*").alias("questions"), F.sum((F.upper("type") == "STARRED").cast("long")).alias("starred"), F.max("lok_sabha").alias("last_term"))
 
@@ -162,13 +162,13 @@ def q_index_totals(spark, sf_dir):
 
 
 def q_slim_roster(spark, sf_dir):
-    """Each state's roster, sitting first, then by activity and name."""
+    """each state's roster, sitting first, then by activity and name."""
     t = load(spark, sf_dir, "tenures").where("office_type = 'ls' AND pid IS NOT NULL").groupBy("pid").agg(F.max(F.coalesce("sitting", F.lit(0))).alias("current"), F.sum(F.coalesce("questions_count", F.lit(0)) + F.coalesce("speeches_count", F.lit(0))).alias("activity"), F.min(places.state(F.col("state"))).alias("state"))
     return number_rows(t, ["state"], [F.desc("current"), F.desc("activity"), F.col("pid")], "place")
 
 
 def q_feed_order(spark, sf_dir):
-    """Places within each question feed, newest day first, unknown days last."""
+    """Places within each question feed, newest day first, unknown days last."""
     q = load(spark, sf_dir, "ls_questions").select("lok_sabha", "session", "type", "question_no", dates.sort_key(F.col("date"), ".").alias("day")).distinct()
     return number_rows(q, ["lok_sabha", "session", "type"], [F.desc("day"), F.desc("question_no")], "place")
 

@@ -85,10 +85,9 @@ def q_record_projection(spark, sf_dir):
 
 
 def q_contest_projection(spark, sf_dir):
-    """Contest rows with slugs, rounded shares and won flags."""
+    """Contest rows with slugs and won flags; shares of votes are in q_contest_shares."""
     c = load(spark, sf_dir, "tcpd_tuples")
-    share = F.round(F.col("votes") / F.lit(999983.0), 4)
-    return c.select("tuple_id", names.slug(F.col("state_name")).alias("state_slug"), names.slug(F.col("constituency_name")).alias("seat_slug"), share.alias("share"), F.coalesce(F.col("position") == 1, F.lit(False)).alias("won"))
+    return c.select("tuple_id", names.slug(F.col("state_name")).alias("state_slug"), names.slug(F.col("constituency_name")).alias("seat_slug"), F.coalesce(F.col("position") == 1, F.lit(False)).alias("won"))
 
 
 def q_json_props(spark, sf_dir):
@@ -162,7 +161,7 @@ SELECT session, date_iso, version, CASE WHEN lower(trim(version)) LIKE 'floor%'
 coalesce((contains(plain_url, y || m || d) OR contains(plain_url, d || m || y) OR contains(plain_url, ltrim(d, '0') || m || y) OR contains(plain_url, ltrim(d, '0') || ltrim(m, '0') || y) OR contains(plain_url, d || '.' || m || '.' || y)) AND plain_url <> '', false) AS of_day FROM e""",
     "q_record_projection": """WITH t AS (SELECT *, CASE WHEN regexp_full_match(term_label, 'LS[0-9]+') THEN cast(substr(term_label, 3) AS INT) END AS term FROM tenures)
 SELECT id, coalesce(nullif(trim(constituency), ''), nullif(trim(state), ''), '-') AS place, coalesce(trim(party_short), '') AS party, term, CASE term WHEN 14 THEN 2004 WHEN 15 THEN 2009 WHEN 16 THEN 2014 WHEN 17 THEN 2019 WHEN 18 THEN 2024 END AS year, upper(office_type) || ' ' || coalesce(term_label, '?') AS title FROM t""",
-    "q_contest_projection": f"SELECT tuple_id, {SLUG.format(c='state_name')} AS state_slug, {SLUG.format(c='constituency_name')} AS seat_slug, round(votes / 999983.0::DOUBLE, 4) AS share, coalesce(position = 1, false) AS won FROM tcpd_tuples",
+    "q_contest_projection": f"SELECT tuple_id, {SLUG.format(c='state_name')} AS state_slug, {SLUG.format(c='constituency_name')} AS seat_slug, coalesce(position = 1, false) AS won FROM tcpd_tuples",
     "q_json_props": "SELECT event_type, cast(sum(cast(json_extract(props, '$.k') AS INT)) AS BIGINT) AS k_sum, count(cast(json_extract(props, '$.k') AS INT)) AS k_count FROM events GROUP BY event_type",
     "q_html_strip": """SELECT doc_id, regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\\n[ \\t]*\\n[ \\t\\n]*', chr(10) || chr(10), 'g'), '^[ \\t\\n]+|[ \\t\\n]+$', '', 'g') AS plain FROM documents""",
     "q_tokens": "SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z0-9]{3,}'))::INT AS n_tokens, substring(text, 1, 5000) AS head, length(text) > 5000 AS truncated FROM documents",
