@@ -20,6 +20,19 @@ def lookup(persons: DataFrame, pid: str, name: str) -> DataFrame:
     return forms.groupBy("form").agg(F.count_distinct("pid").alias("pids"), F.min("pid").alias("pid"))
 
 
+def lookup_in_house(raw: DataFrame, forms: DataFrame, house: str) -> DataFrame:
+    """Rows (raw, pid, status) of raw names whose normal form is a person's.
+
+    forms has form, pid and house. exact: one pid has the form; exact_house: several, of
+    which one in the house; else ambiguous_exact, without pid. Names nobody has give no row.
+    """
+    inside = F.when(F.col("house") == house, F.col("pid"))
+    per = forms.where("form <> '' AND pid IS NOT NULL").groupBy("form").agg(F.count_distinct("pid").alias("pids"), F.min("pid").alias("pid"), F.count_distinct(inside).alias("inside"), F.min(inside).alias("in_pid"))
+    named = raw.select("raw").distinct().withColumn("form", names.normal_form(F.col("raw"))).join(per, "form")
+    status = F.when(F.col("pids") == 1, "exact").when(F.col("inside") == 1, "exact_house").otherwise("ambiguous_exact")
+    return named.select("raw", F.when(F.col("pids") == 1, F.col("pid")).when(F.col("inside") == 1, F.col("in_pid")).alias("pid"), status.alias("status"))
+
+
 def indel_ratio(a: str, b: str) -> float:
     """100 * 2 * LCS / (len a + len b), by bit-parallel rows."""
     if not a and not b:

@@ -41,6 +41,21 @@ def merge_stats(joined: DataFrame, scope: list[str]) -> DataFrame:
     return joined.groupBy(*scope).agg(count("new"), count("updated"), count("kept"))
 
 
+def kept_legacy(joined: DataFrame, scope: list[str], walked: DataFrame) -> DataFrame:
+    """joined with origin kept_legacy for kept records of a scope that was walked, and untouched for those of others.
+
+    walked has the columns scope. A record that a walk of its scope did not bring is legacy;
+    one whose scope was not walked says nothing.
+    """
+    seen = walked.select(*[F.col(c).alias(f"__{c}") for c in scope]).distinct().withColumn("__walked", F.lit(True))
+    on = None
+    for c in scope:
+        same = F.col(c).eqNullSafe(F.col(f"__{c}"))
+        on = same if on is None else on & same
+    kept = F.when(F.col("origin") != "kept", F.col("origin")).when(F.col("__walked"), "kept_legacy").otherwise("untouched")
+    return joined.join(seen, on, "left").withColumn("origin", kept).select(*joined.columns)
+
+
 def insert_or_ignore(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """table and those rows whose keys it lacks; rows with a null key are distinct."""
     nulls = F.lit(False)

@@ -9,6 +9,7 @@ from rollcall.operators import resolve
 from rollcall.operators.attribute import attribute
 from rollcall.operators.components import connected_components
 from rollcall.operators.dedupe import keep_best
+from rollcall.operators.identity import identity_edges, refused_pairs
 from rollcall.session import load
 
 
@@ -26,6 +27,29 @@ def q_components(spark, sf_dir):
     return connected_components(_identity_edges(spark, sf_dir)).select(F.col("node").alias("pid"), "component")
 
 
+def _nodes(spark, sf_dir):
+    p = load(spark, sf_dir, "persons")
+    return p.select(F.col("rec_id").alias("node"), names.name_bag(F.col("canonical_name")).alias("name"), dates.strict_dob(F.col("dob")).alias("day"), F.nullif(F.trim("rs_tcpd_id"), F.lit("")).alias("link"))
+
+
+def q_identity(spark, sf_dir):
+    """All records joined by name and day, and by external link where days or names do not conflict."""
+    return connected_components(identity_edges(_nodes(spark, sf_dir))).select(F.col("node").alias("rec_id"), "component")
+
+
+def q_refused_pairs(spark, sf_dir):
+    """Pairs of records of one external link that days or names keep apart, by link."""
+    return refused_pairs(_nodes(spark, sf_dir))
+
+
+def q_lookup_house(spark, sf_dir):
+    """Members by normal form; of several persons the only one of the lower house."""
+    house = load(spark, sf_dir, "tenures").select("pid", F.col("office_type").alias("house")).distinct()
+    p = load(spark, sf_dir, "persons").select("pid", names.normal_form(F.col("canonical_name")).alias("form")).join(house, "pid", "left")
+    m = load(spark, sf_dir, "ls_questions").select(F.explode("members").alias("raw"))
+    return resolve.lookup_in_house(m, p, "ls")
+
+
 def q_bipartite_components(spark, sf_dir):
     """Candidates joined through the seats where they share a name."""
     c = load(spark, sf_dir, "tcpd_tuples").where("pid IS NOT NULL").select("pid", F.concat_ws("|", names.name_bag(F.col("candidate")), places.state(F.col("state_name"))).alias("k"))
@@ -113,7 +137,7 @@ def q_waterfall_counts(spark, sf_dir):
     return _waterfall(spark, sf_dir).groupBy("method").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (q_components, q_bipartite_components, q_aliases, q_person_fields, q_unified_master, q_lookup_exact, q_fuzzy, q_name_score, q_waterfall, q_waterfall_counts)}
+QUERIES = {f.__name__: f for f in (q_components, q_identity, q_refused_pairs, q_lookup_house, q_bipartite_components, q_aliases, q_person_fields, q_unified_master, q_lookup_exact, q_fuzzy, q_name_score, q_waterfall, q_waterfall_counts)}
 
 from rollcall.plans.intervals import _day  # noqa: E402
 from rollcall.plans.scalars import _H, BAG, CONS, NORMAL, PARTY, SET, STATE, STRICT, TOKENS  # noqa: E402
@@ -166,6 +190,8 @@ b AS (SELECT row_id, k.owner, 'B' AS method FROM r JOIN (SELECT source_id, min(p
 d AS (SELECT row_id, min(h.owner) AS owner, 'D' AS method FROM r JOIN h ON r.state = h.state AND r.seat = h.seat AND {_strong("x", "y")} WHERE year = (SELECT newest FROM z) AND row_id NOT IN (SELECT row_id FROM a UNION SELECT row_id FROM b) GROUP BY row_id),
 l AS (SELECT * FROM r WHERE row_id NOT IN (SELECT row_id FROM a UNION SELECT row_id FROM b UNION SELECT row_id FROM d)),
 w AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM d UNION ALL SELECT row_id, 'TCPD:' || source_id, 'C' FROM l WHERE source_id IN (SELECT source_id FROM l WHERE won AND source_id IS NOT NULL))"""
+_NODES = f"""n AS (SELECT rec_id AS node, {BAG.format(c="canonical_name")} AS name, {STRICT.format(c="dob")} AS day, nullif(trim(rs_tcpd_id, ' '), '') AS link FROM persons WHERE rec_id IS NOT NULL),
+l AS (SELECT a.link, a.node AS i, b.node AS j, CASE WHEN a.day IS NOT NULL AND b.day IS NOT NULL THEN a.day = b.day ELSE a.name = '' OR b.name = '' OR a.name = b.name END AS joined FROM n a JOIN n b ON a.link = b.link AND a.node < b.node)"""
 _TOK = TOKENS.format(c="candidate")
 SQL = {
     "q_name_score": f"""WITH c AS (SELECT tuple_id, year, state_name, constituency_name, position, {_rare(f"list_sort(list_distinct({_TOK}))")} AS x FROM tcpd_tuples),
@@ -174,6 +200,9 @@ SELECT tuple_id, {_score("coalesce(x, [])", "coalesce(y, [])")} AS score, {_stro
     "q_waterfall": f"WITH {_WATERFALL} SELECT * FROM w",
     "q_waterfall_counts": f"WITH {_WATERFALL} SELECT method, count(*) AS n FROM w GROUP BY method",
     "q_components": f"WITH RECURSIVE p AS (SELECT pid, {_BAG} AS bag, {_DAY} AS day FROM persons WHERE pid IS NOT NULL), e AS (SELECT DISTINCT min(pid) OVER (PARTITION BY bag, day) AS a, pid AS b FROM p WHERE bag <> '' AND day IS NOT NULL UNION SELECT pid, pid FROM p WHERE bag <> ''), {_REACH} SELECT node AS pid, min(seen) AS component FROM r GROUP BY node",
+    "q_identity": f"WITH RECURSIVE {_NODES}, e AS (SELECT i AS a, j AS b FROM l WHERE joined UNION SELECT min(node) OVER (PARTITION BY name, day), node FROM n WHERE name <> '' AND day IS NOT NULL UNION SELECT node, node FROM n), {_REACH} SELECT node AS rec_id, min(seen) AS component FROM r GROUP BY node",
+    "q_refused_pairs": f"WITH {_NODES} SELECT link, count(*) AS refused FROM l WHERE NOT joined GROUP BY link",
+    "q_lookup_house": f"WITH p AS (SELECT DISTINCT pid, {NORMAL.format(c='canonical_name')} AS form FROM persons WHERE pid IS NOT NULL), h AS (SELECT DISTINCT pid FROM tenures WHERE office_type = 'ls'), f AS (SELECT form, count(DISTINCT pid) AS pids, min(pid) AS pid, count(DISTINCT pid) FILTER (pid IN (SELECT pid FROM h)) AS ins, min(pid) FILTER (pid IN (SELECT pid FROM h)) AS in_pid FROM p WHERE form <> '' GROUP BY form), m AS (SELECT DISTINCT raw, {NORMAL.format(c='raw')} AS form FROM (SELECT unnest(members) AS raw FROM ls_questions)) SELECT raw, CASE WHEN pids = 1 THEN pid WHEN ins = 1 THEN in_pid END AS pid, CASE WHEN pids = 1 THEN 'exact' WHEN ins = 1 THEN 'exact_house' ELSE 'ambiguous_exact' END AS status FROM m JOIN f USING (form)",
     "q_bipartite_components": f"WITH RECURSIVE c AS (SELECT pid, {BAG.format(c='candidate')} || '|' || {STATE} AS k FROM tcpd_tuples WHERE pid IS NOT NULL), e AS (SELECT DISTINCT min(pid) OVER (PARTITION BY k) AS a, pid AS b FROM c), {_REACH} SELECT node AS pid, min(seen) AS component FROM r GROUP BY node",
     "q_aliases": f"WITH o AS (SELECT pid, min({_KEY}) AS key, min({_DAY}) AS day FROM persons WHERE pid IS NOT NULL AND {_KEY} <> '' GROUP BY pid), d AS (SELECT key, count(DISTINCT day) AS days, min(pid) AS least FROM o GROUP BY key), s AS (SELECT key, day, min(pid) AS lod FROM o WHERE day IS NOT NULL GROUP BY key, day), j AS (SELECT o.pid, CASE WHEN days >= 2 THEN coalesce(lod, o.pid) ELSE least END AS canonical FROM o JOIN d USING (key) LEFT JOIN s ON s.key = o.key AND s.day = o.day) SELECT * FROM j WHERE pid <> canonical",
     "q_person_fields": f"WITH p AS (SELECT pid, max({_DAY}) AS dob, max(nullif(trim(rs_tcpd_id, ' '), '')) AS link FROM persons WHERE pid IS NOT NULL GROUP BY pid) SELECT pid, dob, CASE WHEN dob IS NOT NULL AND link IS NOT NULL THEN 'both' WHEN dob IS NOT NULL THEN 'dob_only' WHEN link IS NOT NULL THEN 'tcpd_only' ELSE 'fallback' END AS source, CASE WHEN dob IS NOT NULL AND link IS NOT NULL THEN 1.0 WHEN dob IS NOT NULL THEN 0.9 WHEN link IS NOT NULL THEN 0.8 ELSE 0.5 END::DOUBLE AS confidence FROM p",

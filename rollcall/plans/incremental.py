@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import keys
 from rollcall.operators.dedupe import descending, keep_best
-from rollcall.operators.upsert import insert_or_ignore, merge_stats, mint_ids, snapshot_join, upsert
+from rollcall.operators.upsert import insert_or_ignore, kept_legacy, merge_stats, mint_ids, snapshot_join, upsert
 from rollcall.session import load
 
 KEY = ["lok_sabha", "session", "type", "question_no"]
@@ -45,6 +45,13 @@ def q_snapshot_join(spark, sf_dir):
     return snapshot_join(old, fresh, KEY).select(*KEY, "origin")
 
 
+def q_kept_legacy(spark, sf_dir):
+    """Records by origin; of kept ones those that a walk of their term, session and type did not bring."""
+    old, fresh = _crawls(spark, sf_dir)
+    scope = ["lok_sabha", "session", "type"]
+    return kept_legacy(snapshot_join(old, fresh, KEY), scope, fresh).groupBy(*scope, "origin").agg(F.count("*").alias("n"))
+
+
 def q_merge_stats(spark, sf_dir):
     """New, updated and kept records of each session."""
     old, fresh = _crawls(spark, sf_dir)
@@ -155,7 +162,7 @@ def q_insert_ignore(spark, sf_dir):
     return insert_or_ignore(winners, keep_best(c.where("year IS NOT NULL"), k, [F.col("tuple_id")]), k)
 
 
-QUERIES = {f.__name__: f for f in (q_upsert_ls, q_upsert_guarded, q_snapshot_join, q_merge_stats, q_marker_overlay, q_shard_overlay, q_manifest, q_audit, q_audit_versions, q_queue, q_queue_versions, q_export_layout, q_content_hash, q_extract_status, q_mint_ids, q_insert_ignore)}
+QUERIES = {f.__name__: f for f in (q_upsert_ls, q_upsert_guarded, q_snapshot_join, q_kept_legacy, q_merge_stats, q_marker_overlay, q_shard_overlay, q_manifest, q_audit, q_audit_versions, q_queue, q_queue_versions, q_export_layout, q_content_hash, q_extract_status, q_mint_ids, q_insert_ignore)}
 
 from rollcall.plans.scalars import _BUCKET, _GROUP, _LETTER  # noqa: E402
 
@@ -178,6 +185,7 @@ SQL = {
     "q_upsert_ls": f"WITH {_CRAWLS} SELECT {_K}, " + ", ".join(f"CASE WHEN has_new THEN n_{c} ELSE o_{c} END AS {c}" for c in ("subject", "ministry", "date", "pdf_url")) + " FROM j",
     "q_upsert_guarded": f"WITH {_CRAWLS}, g AS (SELECT *, has_old AND has_new AND n_pdf_url = '' AND o_pdf_url <> '' AS guarded FROM j) SELECT {_K}, CASE WHEN NOT has_new OR guarded THEN o_pdf_url ELSE n_pdf_url END AS pdf_url, CASE WHEN NOT has_old THEN 'new' WHEN NOT has_new OR guarded THEN 'kept' ELSE 'updated' END AS origin FROM g",
     "q_snapshot_join": f"WITH {_CRAWLS} SELECT {_K}, {_ORIGIN} AS origin FROM j",
+    "q_kept_legacy": f"WITH {_CRAWLS}, o AS (SELECT lok_sabha, session, type, {_ORIGIN} AS origin FROM j), w AS (SELECT DISTINCT lok_sabha, session, type, true AS walked FROM fresh) SELECT lok_sabha, session, type, CASE WHEN origin <> 'kept' THEN origin WHEN walked THEN 'kept_legacy' ELSE 'untouched' END AS origin, count(*) AS n FROM o LEFT JOIN w USING (lok_sabha, session, type) GROUP BY ALL",
     "q_merge_stats": f"WITH {_CRAWLS}, o AS (SELECT lok_sabha, session, {_ORIGIN} AS origin FROM j) SELECT lok_sabha, session, count(*) FILTER (origin = 'new') AS new, count(*) FILTER (origin = 'updated') AS updated, count(*) FILTER (origin = 'kept') AS kept FROM o GROUP BY lok_sabha, session",
     "q_marker_overlay": f"WITH {_MARKED}, m AS (SELECT composite_id, arg_min(marker, doc_id) AS marker FROM d WHERE marker IS NOT NULL GROUP BY composite_id), l AS (SELECT * FROM m WHERE composite_id IS NULL OR composite_id NOT IN (SELECT composite_id FROM d WHERE marker IS NULL AND composite_id IS NOT NULL)) SELECT v.marker, count(l.marker) AS n FROM (VALUES {', '.join(f'({m!r})' for m in MARKERS)}) v(marker) LEFT JOIN l ON l.marker = v.marker GROUP BY v.marker",
     "q_shard_overlay": f"WITH d AS (SELECT composite_id, arg_min(text, {{'a': -epoch_us(extracted_at), 'b': doc_id}}) AS text FROM documents WHERE text IS NOT NULL AND composite_id IS NOT NULL GROUP BY composite_id) SELECT 'texts-' || {_GROUP.format(n=250)} || '.json' AS file, count(*) AS records, count(*) FILTER (strlen(text) > 10000) AS stored_apart, cast(sum(CASE WHEN strlen(text) > 10000 THEN 0 ELSE strlen(text) END) AS BIGINT) AS bytes FROM d GROUP BY 1",

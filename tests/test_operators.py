@@ -7,6 +7,8 @@ from rollcall.operators import search
 from rollcall.operators.attribute import attribute
 from rollcall.operators.components import connected_components
 from rollcall.operators.dedupe import descending, keep_best, nulls_last
+from rollcall.operators.identity import identity_edges, refused_pairs
+from rollcall.operators.ordinals import number_rows
 from rollcall.operators.resolve import best_forms, indel_ratio, lookup, resolve
 from rollcall.operators.upsert import insert_or_ignore, merge_stats, mint_ids, snapshot_join, upsert
 
@@ -118,3 +120,47 @@ def test_unfinished_components_are_an_error(spark):
     with pytest.raises(RuntimeError, match="converged"):
         connected_components(path, 2)
     assert {r.component for r in connected_components(path).collect()} == {0}
+
+
+def test_identity_edges_against_the_rule_on_pairs(spark):
+    r = random.Random(9)
+    nodes = [(i, r.choice(["", "a", "b", "c"]), r.choice([None, None, "1", "2", "3"]), r.choice([None, *"uvwxyz"])) for i in range(90)]
+
+    def one(x, y):
+        if x[1] and x[1] == y[1] and x[2] and x[2] == y[2]:
+            return True
+        if x[3] is None or x[3] != y[3]:
+            return False
+        return x[2] == y[2] if x[2] and y[2] else not x[1] or not y[1] or x[1] == y[1]
+
+    label = {x[0]: x[0] for x in nodes}
+    for _ in nodes:
+        for x in nodes:
+            for y in nodes:
+                if one(x, y):
+                    label[x[0]] = label[y[0]] = min(label[x[0]], label[y[0]])
+    df = spark.createDataFrame(nodes, "node int, name string, day string, link string")
+    assert {x.node: x.component for x in connected_components(identity_edges(df)).collect()} == label
+    want = {}
+    for x in nodes:
+        for y in nodes:
+            if x[0] < y[0] and x[3] and x[3] == y[3]:
+                apart = x[2] != y[2] if x[2] and y[2] else bool(x[1] and y[1] and x[1] != y[1])
+                want[x[3]] = want.get(x[3], 0) + apart
+    assert {x.link: x.refused for x in refused_pairs(df).collect()} == {k: v for k, v in want.items() if v}
+    assert identity_edges(df.limit(0)).collect() == [] and refused_pairs(df.limit(0)).collect() == []
+
+
+def test_orders_keep_every_bit_and_maps(spark):
+    df = spark.createDataFrame([(1, 9007199254740992, {"b": 1, "a": 2}), (1, 9007199254740993, {"x": 1}), (2, None, None), (2, -5, {})], "k int, n long, m map<string,int>")
+    assert {(x.k, x.n) for x in keep_best(df, ["k"], [descending(F.col("n"))]).collect()} == {(1, 9007199254740993), (2, -5)}
+    assert [x.m for x in keep_best(df, ["k"], [descending(F.col("n"))]).orderBy("k").collect()] == [{"x": 1}, {}]
+
+
+def test_numbers_of_rows(spark):
+    r = random.Random(4)
+    data = [(r.choice(["hot", "hot", "hot", "b", None]), i) for i in range(200)]
+    got = number_rows(spark.createDataFrame(data, "g string, n int"), ["g"], [F.desc("n")], "place").collect()
+    want = {(g, n): 1 + sum(1 for h, m in data if h == g and m > n) for g, n in data}
+    assert {(x.g, x.n): x.place for x in got} == want
+    assert number_rows(spark.createDataFrame([], "g string, n int"), [], [F.col("n")], "place").collect() == []
