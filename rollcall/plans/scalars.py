@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollcall.functions import dates, keys, names, places, text
+from rollcall.functions import dates, keys, names, places, text, versions
 from rollcall.session import load
 
 
@@ -64,16 +64,8 @@ def q_merge_key(spark, sf_dir):
 def q_versions(spark, sf_dir):
     """Version codes, plain addresses, and whether one names its day."""
     d = load(spark, sf_dir, "rs_debate_days").select("session", "date_iso", F.explode("file_versions").alias("v")).select("session", "date_iso", "v.*")
-    url = F.translate("url", "\\", "/")
-    y, m, day = F.substring("date_iso", 1, 4), F.substring("date_iso", 6, 2), F.substring("date_iso", 9, 2)
-    bare = lambda c: F.regexp_replace(c, "^0", "")
-    forms = [F.concat(y, m, day), F.concat(day, m, y), F.concat(bare(day), m, y), F.concat(bare(day), bare(m), y), F.concat_ws(".", day, m, y)]
-    hit = F.lit(False)
-    for f in forms:
-        hit = hit | F.contains(url, f)
-    v = F.lower(F.trim("version"))
-    code = F.when(F.startswith(v, F.lit("floor")), "floor").when(F.startswith(v, F.lit("english")), "english").when(v.rlike("^part ?-?1"), "part1")
-    return d.select("session", "date_iso", "version", code.alias("code"), url.alias("plain_url"), F.coalesce(hit & (url != "") & F.col("date_iso").isNotNull(), F.lit(False)).alias("of_day"))
+    url = versions.plain_url(F.col("url"))
+    return d.select("session", "date_iso", "version", versions.version_code(F.col("version")).alias("code"), url.alias("plain_url"), versions.is_of_day(url, F.col("date_iso")).alias("of_day"))
 
 
 def q_record_projection(spark, sf_dir):

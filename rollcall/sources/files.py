@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,22 +15,61 @@ RS_DEBATE_DAY = "house STRING, session INT, date STRING, date_iso STRING, file_v
 TUPLE = "pid STRING, Year INT, State_Name STRING, Constituency_Name STRING, Party STRING, Candidate STRING, Sex STRING"
 
 
+BILL = "billNumber STRING, billName STRING, billType STRING, billCategory STRING, ministryName STRING, billIntroducedInHouse STRING, billYear INT, billIntroducedDate STRING, status STRING, compositeId STRING, billIntroducedBy STRING"
+
+
+class Folder:
+    """Names and small texts of a folder on the file system its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._files = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def names(self) -> list[str]:
+        at = self._path(self.path)
+        return sorted(s.getPath().getName() for s in self._files.listStatus(at)) if self._files.exists(at) else []
+
+    def text(self, name: str) -> str:
+        return self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0]
+
+
 def read_reports(spark: SparkSession, folder: str, house: str, schema: str) -> DataFrame:
-    """Records of the shards that the manifest names; a missing shard is skipped."""
-    manifest = os.path.join(folder, "manifest.json")
-    if not os.path.exists(manifest):
-        legacy = os.path.join(folder, "reports.json")
-        if not os.path.exists(legacy):
+    """Records of the shards that the manifest names; a missing shard is skipped."""
+    at = Folder(spark, folder)
+    there = set(at.names())
+    if "manifest.json" not in there:
+        if "reports.json" not in there:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(f"{house} ARRAY<STRUCT<{_fields(schema)}>>").json(legacy, multiLine=True).select(F.explode(house).alias("r")).select("r.*")
-    with open(manifest) as f:
-        names = [s["file"] for s in json.load(f)["shards"].get(house, [])]
-    paths = [p for n in names if os.path.exists(p := os.path.join(folder, n))]
+        rows = spark.read.schema(f"{house} ARRAY<STRUCT<{_fields(schema)}>>").json(f"{at.path}/reports.json", multiLine=True)
+        return rows.select(F.explode(house).alias("r")).select("r.*")
+    shards = json.loads(at.text("manifest.json"))["shards"].get(house, [])
+    return _records(spark, [f"{at.path}/{s['file']}" for s in shards if s["file"] in there], schema)
+
+
+def read_bills(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of all index-*.json files of a folder."""
+    at = Folder(spark, folder)
+    return _records(spark, [f"{at.path}/{n}" for n in at.names() if n.startswith("index-") and n.endswith(".json")], BILL)
+
+
+def _records(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(f"records ARRAY<STRUCT<{_fields(schema)}>>").json(paths, multiLine=True).select(F.explode("records").alias("r")).select("r.*")
 
 
+def read_bundled_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The composite ids that text shards hold: keys of an old manifest's map of records, else of the shards."""
+    at = Folder(spark, folder)
+    names = at.names()
+    if "manifest.json" in names and "record_to_shard" in json.loads(at.text("manifest.json")):
+        rows = spark.read.schema("record_to_shard MAP<STRING, STRING>").json(f"{at.path}/manifest.json", multiLine=True)
+        return rows.select(F.explode(F.map_keys("record_to_shard")).alias("composite_id"))
+    paths = [f"{at.path}/{n}" for n in names if n.startswith("texts-") and n.endswith(".json")]
+    return read_text_shards(spark, paths).select("composite_id") if paths else spark.createDataFrame([], "composite_id string")
+
+
 def _fields(schema: str) -> str:
     depth, out = 0, ""
     for c in schema:
@@ -51,7 +89,7 @@ def _split(schema: str) -> list[str]:
 
 
 def read_text_shards(spark: SparkSession, paths) -> DataFrame:
-    """(composite_id, text, is_external) of text shards; a value is a text or a sentinel."""
+    """(composite_id, text, is_external) of text shards; a value is a text or a sentinel."""
     rows = spark.read.schema("shard STRING, records MAP<STRING, STRING>").json(paths, multiLine=True)
     rows = rows.select(F.explode("records").alias("composite_id", "v"))
     external = F.coalesce(F.get_json_object("v", "$.r2") == "true", F.lit(False))
@@ -65,12 +103,13 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tuples(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of the newest gzip CSV file of election results, by name."""
-    newest = max(n for n in os.listdir(folder) if n.endswith(".csv.gz"))
-    return spark.read.schema(TUPLE).csv(os.path.join(folder, newest), header=True, enforceSchema=False)
+    at = Folder(spark, folder)
+    newest = max(n for n in at.names() if n.endswith(".csv.gz"))
+    return spark.read.schema(TUPLE).csv(f"{at.path}/{newest}", header=True, enforceSchema=False)
 
 
 def read_histories(spark: SparkSession, folder: str) -> DataFrame:
-    """(house, mpsno, link) of one JSON file for each person; unreadable files are skipped."""
+    """(house, mpsno, link) of one JSON file for each person; unreadable files are skipped."""
     rows = spark.read.schema("mpsno INT, house STRING, ge_pid STRING, ae_pid STRING").json(folder, multiLine=True, mode="DROPMALFORMED")
     link = F.coalesce(F.nullif("ge_pid", F.lit("")), F.nullif("ae_pid", F.lit("")))
     return rows.where("mpsno IS NOT NULL").select("house", "mpsno", link.alias("link"))

@@ -1,7 +1,8 @@
 """A paged listing as a Python data source, one partition for each scope.
 
-The fetcher is a function of (scope, page) that gives the records of a page; without a
-network it is a stub. Paging of a scope stops after a page that brings no new key.
+The fetcher is a function of (scope, page) that gives the records of a page, or a dict of
+them (records) and of all there are (total); without a network it is a stub. Paging of a
+scope stops after a page that brings no new key, or after ceil(total / page_size) pages.
 """
 
 from __future__ import annotations
@@ -14,7 +15,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 class ListingSource(DataSource):
-    """Options: fetch "module:function", scopes and known as JSON, keys as a CSV list."""
+    """Options: fetch "module:function", scopes as JSON, keys as a CSV list, page_size.
+
+    known is a Parquet folder on shared storage with the columns keys and scope (as JSON)
+    of records that were listed before; a task reads those of its own scope.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -38,9 +43,10 @@ class ListingReader(DataSourceReader):
         module, _, function = self.options["fetch"].partition(":")
         fetch, scope = getattr(importlib.import_module(module), function), json.loads(partition.value)
         keys = self.options["keys"].split(",")
-        seen = {tuple(k) for k in json.loads(self.options.get("known", "[]"))}
-        page = 1
-        while records := fetch(scope, page):
+        seen = self._known(partition.value, keys)
+        size, page = int(self.options.get("page_size", "0")), 1
+        while got := fetch(scope, page):
+            records, total = (got["records"], got.get("total")) if isinstance(got, dict) else (got, None)
             fresh = 0
             for r in records:
                 key = tuple(r.get(k) for k in keys)
@@ -49,6 +55,15 @@ class ListingReader(DataSourceReader):
                 fresh += key not in seen
                 seen.add(key)
                 yield tuple(r.get(c) for c in self.columns)
-            if not fresh:
+            if not fresh or (total is not None and size and page >= -(-total // size)):
                 return
             page += 1
+
+    def _known(self, scope: str, keys: list[str]) -> set[tuple]:
+        folder = self.options.get("known")
+        if not folder:
+            return set()
+        import pyarrow.dataset as ds
+
+        rows = ds.dataset(folder).to_table(columns=keys, filter=ds.field("scope") == scope)
+        return set(zip(*(rows[k].to_pylist() for k in keys))) if len(rows) else set()
