@@ -63,6 +63,11 @@ def person_names(persons: DataFrame) -> DataFrame:
     return best.select("pid", F.col("best.name").alias("name"))
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """df over as many tasks as a shuffle has: what a small table is exploded to is no longer small."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _bag(*of: Column) -> Column:
     return F.array_join(F.array_sort(F.concat(*of)), " ")
 
@@ -129,8 +134,7 @@ def spelling_forms(spellings: DataFrame, names: DataFrame, known_forms: DataFram
     only those among known_forms are made: the part that fewest forms have leads to forms,
     and each form keeps the choices it has, so nothing that meets a person is lost.
     """
-    # few files of a checkpoint may hold all names, so they are spread before they are split
-    typed = cut(spellings.select("spelling").repartition("spelling").select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
+    typed = cut(_spread(spellings.select("spelling"), "spelling").select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
     closed = F.array_join(F.slice("name", 1, F.size("name") - 1), "")  # given names without a space
     borne = names.select(F.explode(F.concat("name", F.array(closed))).alias("token")).where(F.length("token") > 1).distinct()
     at = typed.select("spelling", F.posexplode("name").alias("k", "token"))
@@ -177,7 +181,7 @@ def link_spellings(spellings: DataFrame, persons: DataFrame) -> DataFrame:
     links to nobody.
     """
     names = cut(person_names(persons))
-    forms = cut(person_forms(names).groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid")))
+    forms = cut(person_forms(_spread(names, "pid")).groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid")))
     typed = spelling_forms(spellings.select("spelling").where("spelling IS NOT NULL").distinct(), names, forms)
     hits = cut(typed.join(forms, "form").select("spelling", "slips", "cost", "pids", "pid"))
     scored = hits.join(F.broadcast(rarities(hits)), ["slips", "cost"])  # a row for each set of rules

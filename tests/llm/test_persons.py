@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import matching
 from rollcall.llm.matching import assign, match_candidates, neighbours
-from rollcall.llm.names import link_spellings, parts
+from rollcall.llm.names import link_spellings, parts, person_forms, person_names, spelling_forms
 from rollcall.llm.truth import discover_truth, surviving_rows
+from rollcall.session import cut
 
 PERSONS = "rec_id long, pid string, canonical_name string, dob string, gender string, image_url string, identity_source string, anchor_signal string, confidence double, built_at timestamp_ntz, name string"
 TERMS = "pid string, state string, constituency string, party_short string, term_start string"
@@ -188,3 +189,11 @@ def test_a_slip_of_many_candidates_is_mended_beside_the_typed_name(spark, monkey
     terms, parties = spark.createDataFrame([("n-4", "Belanga", "Hill Side", "JVP", "2004-05-01")], TERMS), spark.createDataFrame([("JVP", "Janvikas Party")], "party_short string, party_full string")
     match_candidates(tuples, people(spark), terms, parties)
     assert [tuple(r) for r in seen[0].select("name", "mended").distinct().collect()] == [(["taresh", "hobolalohak"], ["taresh", "hobolalohar"])]
+
+
+def test_names_with_many_rewritings_meet_the_same_persons(spark):
+    persons = cut(person_names(people(spark)))
+    forms = cut(person_forms(persons).select("form").distinct())
+    typed = spark.createDataFrame([("Chetulol Kaveswer Orlokatosi",), ("Manven Sabinorgi",), ("Nobody Else",)], "spelling string")
+    every, few = (sorted(map(tuple, spelling_forms(typed, persons, forms, most).join(forms, "form", "left_semi").collect())) for most in (10_000, 0))
+    assert every == few and len(every) == 2
