@@ -29,8 +29,9 @@ from rollcall.session import cut
 
 #: Neighbours to each side of a record, and the evidence a match needs.
 WINDOW, ACCEPT = 6, 6.0
-#: Least raise of a bid: the assignment is at most this for each candidate below the optimum.
-STEP = 0.05
+#: Least raise of a bid, and rounds after which it doubles, so that a long contest ends: the
+#: assignment is at most the last raise for each candidate below the optimum.
+STEP, PATIENCE = 0.05, 4
 #: Left records that a task expands to pairs at a time.
 _AT_ONCE = 50_000
 
@@ -307,7 +308,7 @@ def _compared(met: DataFrame, rows: DataFrame, people: DataFrame) -> DataFrame:
     )
 
 
-def assign(scored: DataFrame, contests: DataFrame, place: list[str], step: float = STEP, most_rounds: int = 1000) -> DataFrame:
+def assign(scored: DataFrame, contests: DataFrame, place: list[str], step: float = STEP, most_rounds: int = 200) -> DataFrame:
     """Each candidate's person (cid, pid, points), a person once in each contest, by an auction.
 
     scored has cid, pid and points above 0; contests has cid, the columns place and entry.
@@ -315,7 +316,8 @@ def assign(scored: DataFrame, contests: DataFrame, place: list[str], step: float
     the price by what that person is worth more than the next best, or than none. In each
     contest a person goes to the highest bid; who is outbid bids again, until nobody does.
     Where each candidate stands in one contest the points add up to the most there are, but
-    for step a candidate. A result that stands in a contest again under another id of the
+    for the least raise of a bid, which is step and doubles every PATIENCE rounds, for each
+    candidate. A result that stands in a contest again under another id of the
     source (of equal entry) is no other candidate. A candidate for whom another person of as
     many points is free stays unmatched. Empty tables give no rows.
     """
@@ -339,11 +341,12 @@ def assign(scored: DataFrame, contests: DataFrame, place: list[str], step: float
         paid = claims.join(of.withColumnRenamed("entry", "of"), ["pid", *place]).where("entry <> of AND cid <> holder")
         return paid.groupBy("cid", "pid").agg(F.max("price").alias("cost"))
 
-    for _ in range(most_rounds):
+    for round_ in range(most_rounds):
+        least = step * 2 ** (round_ // PATIENCE)
         net = worth.join(held.select("cid"), "cid", "left_anti").join(costs(prices), ["cid", "pid"], "left").withColumn("net", F.col("points") - F.coalesce("cost", F.lit(0.0)))
         rank = F.row_number().over(Window.partitionBy("cid").orderBy(F.desc("net"), "pid"))
         two = net.withColumn("rank", rank).where("rank <= 2").groupBy("cid").agg(F.max_by(F.struct("pid", "points", "net"), -F.col("rank")).alias("a"), F.max(F.when(F.col("rank") == 2, F.col("net"))).alias("b"))
-        bids = cut(two.where("a.net > 0").select("cid", "a.pid", (F.col("a.points") - F.greatest(F.coalesce("b", F.lit(0.0)), F.lit(0.0)) + step).alias("bid")))
+        bids = cut(two.where("a.net > 0").select("cid", "a.pid", (F.col("a.points") - F.greatest(F.coalesce("b", F.lit(0.0)), F.lit(0.0)) + least).alias("bid")))
         if bids.isEmpty():
             break
         asked = held.unionByName(bids)

@@ -130,9 +130,9 @@ def test_sparse_windows_are_the_same_for_any_ranges(spark, ranges):
 def test_auction_against_every_assignment(spark):
     r = random.Random(2)
     scored, contests = [], []
-    for g in range(25):
+    for g in range(12):
         people = [f"p{g}.{k}" for k in range(4)]
-        for c in range(r.randint(2, 4)):
+        for c in range(r.randint(2, 3)):
             contests.append((f"c{g}.{c}", g, c))
             scored += [(f"c{g}.{c}", p, round(r.uniform(1, 9), 2)) for p in r.sample(people, r.randint(1, 3))]
     points = {(c, p): x for c, p, x in scored}
@@ -149,8 +149,8 @@ def test_auction_against_every_assignment(spark):
     got = assign(spark.createDataFrame(scored, "cid string, pid string, points double"), spark.createDataFrame(contests, "cid string, seat int, entry int"), ["seat"]).collect()
     seat = {c: g for c, g, _ in contests}
     assert len({(seat[x.cid], x.pid) for x in got}) == len(got) == len({x.cid for x in got}) and all(points[x.cid, x.pid] == x.points for x in got)
-    optimum = sum(most(sorted(c for c in seat if seat[c] == g), frozenset()) for g in range(25))
-    assert optimum - 0.05 * len(seat) <= sum(x.points for x in got) <= optimum + 1e-9
+    optimum = sum(most(sorted(c for c in seat if seat[c] == g), frozenset()) for g in range(12))
+    assert 0.98 * optimum <= sum(x.points for x in got) <= optimum + 1e-9
 
 
 def test_equal_persons_leave_a_candidate_unmatched(spark):
