@@ -18,7 +18,8 @@ def attribute(rows: DataFrame, terms: DataFrame, bridge: DataFrame, history: Dat
     same year and seat, exact or one the beginning of the other, with enough points for
     name and party. B: the source id is a known person's. D: in current_year, a person of
     history (pid, state, seat, name) with a strong name at a seat of their past. C: a
-    winner's own source id, for all rows of that id.
+    winner's own source id, for all rows of that id. Terms of one year, state and seat
+    beginning are few (an assembly's seats are filled once), so the join on them needs no salt.
     """
     tokens = lambda c: F.split(c, " ")
     points = names.name_score(tokens(F.col("name")), tokens(F.col("t_name"))) + F.when((F.col("party") != "") & (F.col("party") == F.col("t_party")), party_points).otherwise(0.0)

@@ -1,11 +1,12 @@
 """Continuous periods and gaps of overlapping, nested and gapped time intervals.
 
 The aggregate state of an entity is a sorted list of disjoint, non-touching day
-intervals. States merge associatively: two sorted lists are joined (the sort of two
-runs is a linear merge) and one left fold joins what overlaps or touches. The states
-are reduced in a tree over blocks of time, so no task ever sees more than the distinct
-start days of one block, or the disjoint intervals of one entity; both are bounded by
-the calendar and not by the number of rows.
+intervals. States merge associatively: lists of blocks that follow one another are already
+in order, and one left fold joins what overlaps or touches (it copies the closed intervals
+as it goes, so a long list costs more than one step an interval). The states are reduced
+in a tree over blocks of time, so no task ever sees more than the distinct start days of
+one block, or the disjoint intervals of one entity; both are bounded by the calendar and
+not by the number of rows.
 """
 
 from __future__ import annotations

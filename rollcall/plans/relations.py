@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import names, places
 from rollcall.operators import search
+from rollcall.operators.dedupe import keep_best
 from rollcall.session import load
 
 Q = ["lok_sabha", "session", "type", "question_no"]
@@ -29,7 +30,7 @@ def q_in_subquery(spark, sf_dir):
 def q_unmatched(spark, sf_dir):
     """Documents whose question was never listed, and listed ones without a text."""
     q = load(spark, sf_dir, "ls_questions").select(F.concat(F.lit("ls|LS"), "lok_sabha", F.lit("_S"), "session", F.lit("_"), F.when(F.upper("type") == "STARRED", "S").otherwise("U"), F.lit("_"), "question_no").alias("k")).distinct()
-    d = load(spark, sf_dir, "documents").where("source = 'ls_question_pdf' AND composite_id IS NOT NULL").select(F.col("composite_id").alias("k")).distinct()
+    d = load(spark, sf_dir, "documents").where("composite_id LIKE 'ls|%'").select(F.col("composite_id").alias("k")).distinct()
     return d.join(q, "k", "left_anti").agg(F.count("*").alias("n")).select(F.lit("unlisted").alias("what"), "n").union(q.join(d, "k", "left_anti").agg(F.count("*").alias("n")).select(F.lit("without_text"), "n"))
 
 
@@ -84,12 +85,18 @@ def q_split_override(spark, sf_dir):
     return moved.groupBy(pid.alias("candidate")).agg(F.count("*").alias("n"))
 
 
+# which of a record's texts is searched: scanned ones first, then parsed bodies, then heads
+ORIGINS = {"ls_question_pdf": 0, "rs_bundle_pdf": 0, "rs_debate_floor": 0, "rs_debate_english": 0, "committee_scan": 0, "ls_debate_html": 1, "search_head": 2}
+
+
 def q_search_source(spark, sf_dir):
-    """One text for each record, the scanned one before the head."""
-    d = load(spark, sf_dir, "documents").where("composite_id IS NOT NULL")
-    pick = lambda s: F.max(F.when(F.col("source") == s, F.col("text")))
-    both = d.groupBy("composite_id").agg(pick("ls_question_pdf").alias("a"), pick("search_head").alias("b"))
-    return both.where("a IS NOT NULL OR b IS NOT NULL").select("composite_id", F.md5(F.coalesce("a", "b")).alias("text_hash"), F.when(F.col("a").isNotNull(), "scan").otherwise("head").alias("origin"))
+    """One text for each record of all sources, scans before bodies before heads before others."""
+    d = load(spark, sf_dir, "documents").where("composite_id IS NOT NULL AND text IS NOT NULL")
+    rank = F.lit(3)
+    for source, place in ORIGINS.items():
+        rank = F.when(F.col("source") == source, place).otherwise(rank)
+    best = keep_best(d.select("composite_id", "doc_id", "source", rank.alias("origin")), ["composite_id"], [F.col("origin"), F.col("doc_id")])
+    return best.join(d.select("doc_id", F.md5("text").alias("text_hash")), "doc_id").select("composite_id", "text_hash", "origin")
 
 
 def q_search_heads(spark, sf_dir):
@@ -165,14 +172,14 @@ _DF = f"p AS (SELECT doc_id, unnest({_TOK}) AS token FROM documents), f AS (SELE
 SQL = {
     "q_four_way_left": "SELECT n_name, p_brand, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY n_name, p_brand",
     "q_in_subquery": f"SELECT state_name, count(*) AS n FROM tcpd_tuples WHERE {_P} = 'IND' OR pid IN (SELECT pid FROM tcpd_tuples WHERE position = 1 AND pid IS NOT NULL) GROUP BY state_name",
-    "q_unmatched": f"WITH q AS (SELECT DISTINCT {_K} AS k FROM ls_questions), d AS (SELECT DISTINCT composite_id AS k FROM documents WHERE source = 'ls_question_pdf' AND composite_id IS NOT NULL) SELECT 'unlisted' AS what, count(*) AS n FROM d ANTI JOIN q USING (k) UNION ALL SELECT 'without_text', count(*) FROM q ANTI JOIN d USING (k)",
+    "q_unmatched": f"WITH q AS (SELECT DISTINCT {_K} AS k FROM ls_questions), d AS (SELECT DISTINCT composite_id AS k FROM documents WHERE composite_id LIKE 'ls|%') SELECT 'unlisted' AS what, count(*) AS n FROM d ANTI JOIN q USING (k) UNION ALL SELECT 'without_text', count(*) FROM q ANTI JOIN d USING (k)",
     "q_prefix_join": f"WITH t AS (SELECT DISTINCT {STATE.replace('state_name', 'state')} AS st, {CONS.format(c='constituency')} AS t_seat FROM tenures), c AS (SELECT DISTINCT {_SPACED} AS state, {CONS.format(c='constituency_name')} AS seat FROM tcpd_tuples), l AS (SELECT * FROM c WHERE seat <> '' AND (state, seat) NOT IN (SELECT (st, t_seat) FROM t)) SELECT state, seat, t_seat FROM l JOIN t ON l.state = t.st AND length(seat) >= 12 AND length(t_seat) >= 12 AND (starts_with(seat, t_seat) OR starts_with(t_seat, seat))",
     "q_set_diff": f"WITH c AS (SELECT DISTINCT {_P} AS party FROM tcpd_tuples), t AS (SELECT DISTINCT {PARTY.format(c='party_short')} AS party FROM tenures) SELECT 'contests' AS side, party FROM (SELECT * FROM c EXCEPT SELECT * FROM t) UNION ALL SELECT 'terms', party FROM (SELECT * FROM t EXCEPT SELECT * FROM c) UNION ALL SELECT 'both', party FROM (SELECT * FROM c INTERSECT SELECT * FROM t)",
     "q_token_sets": f"SELECT pid, array_to_string(list_sort(list(DISTINCT token)), ' ') AS tokens, count(DISTINCT token) AS n FROM (SELECT pid, unnest({TOKENS.format(c='canonical_name')}) AS token FROM persons WHERE pid IS NOT NULL) GROUP BY pid",
     "q_filters": "SELECT office_type, coalesce(status = 'Sitting' AND (office_type = 'rs' OR term_label = 'LS18'), false) AS is_sitting, count(*) AS n, count(DISTINCT pid) AS persons FROM tenures WHERE pid IS NOT NULL AND external_id IS NOT NULL AND office_type IN ('ls', 'rs') AND NOT coalesce(office_type = 'rs' AND split_part(term_label, '-', 1) = 'MC', false) GROUP BY 1, 2",
     "q_fold_aliases": "WITH a AS (SELECT substr(pid, 3) AS c, min(pid) AS canonical FROM tcpd_tuples WHERE pid IS NOT NULL GROUP BY 1) SELECT coalesce(canonical, 'dropped') AS candidate, count(*) AS n FROM tcpd_tuples LEFT JOIN a ON substr(pid, 3) = c GROUP BY 1",
     "q_split_override": "SELECT CASE WHEN substr(pid, 1, 2) = 'AE' AND year <= 1990 THEN pid || '-split' ELSE pid END AS candidate, count(*) AS n FROM tcpd_tuples GROUP BY 1",
-    "q_search_source": "WITH b AS (SELECT composite_id, max(text) FILTER (source = 'ls_question_pdf') AS a, max(text) FILTER (source = 'search_head') AS b FROM documents WHERE composite_id IS NOT NULL GROUP BY composite_id) SELECT composite_id, md5(coalesce(a, b)) AS text_hash, CASE WHEN a IS NOT NULL THEN 'scan' ELSE 'head' END AS origin FROM b WHERE a IS NOT NULL OR b IS NOT NULL",
+    "q_search_source": "SELECT composite_id, md5(text) AS text_hash, origin FROM (SELECT *, row_number() OVER (PARTITION BY composite_id ORDER BY origin, doc_id) AS k FROM (SELECT *, CASE " + " ".join(f"WHEN source = '{s}' THEN {n}" for s, n in ORIGINS.items()) + " ELSE 3 END AS origin FROM documents WHERE composite_id IS NOT NULL AND text IS NOT NULL)) WHERE k = 1",
     "q_search_heads": f"SELECT {_GROUP.format(n=1000)} AS grp, count(*) AS n, count(*) FILTER (length(text) > 5000) AS truncated, max(length(substring(text, 1, 5000)))::INT AS longest FROM documents WHERE composite_id IS NOT NULL AND coalesce(text, '') <> '' GROUP BY 1",
     "q_tokens_df": f"WITH {_DF} SELECT * FROM f",
     "q_postings_grouped": f"WITH d AS (SELECT bucket AS grp, {_TOK} AS t, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS i FROM documents WHERE coalesce(text, '') <> ''), e AS (SELECT grp, unnest(t) AS token, i FROM d) SELECT grp, token, count(*) AS n, min(i) AS first, max(i) AS last, {_MEMBERS} AS members FROM e GROUP BY grp, token",

@@ -36,10 +36,12 @@ def write_idempotent(df: DataFrame, path: str, ignore: list[str] = ()) -> bool:
     return True
 
 
-def export_shards(df: DataFrame, folder: str, file: str, key: str, value: str) -> None:
-    """One JSON file for each value of file, its records sorted by key.
+def export_shards(df: DataFrame, folder: str, file: str, key: str, value: str, overlay: bool = True) -> None:
+    """One JSON file for each value of file, its records sorted by key.
 
-    A shared folder is needed; files are replaced whole, so a task may run twice.
+    With overlay records that a file has already stay under the fresh ones, else a file
+    holds the fresh ones alone. A shared folder is needed; files are replaced whole, so a
+    task may run twice.
     """
 
     def write(rows) -> None:
@@ -47,10 +49,15 @@ def export_shards(df: DataFrame, folder: str, file: str, key: str, value: str) -
 
         def flush() -> None:
             if name is not None:
+                path, kept = os.path.join(folder, name), {}
+                if overlay and os.path.exists(path):
+                    with open(path, encoding="utf-8") as f:
+                        kept = json.load(f)["records"]
+                merged = kept | records
                 part = os.path.join(folder, f".{name}.part")
                 with open(part, "w", encoding="utf-8") as f:
-                    json.dump({"shard": name, "records": records}, f, ensure_ascii=False, indent=2)
-                os.replace(part, os.path.join(folder, name))
+                    json.dump({"shard": name, "records": {k: merged[k] for k in sorted(merged)}}, f, ensure_ascii=False, indent=2)
+                os.replace(part, path)
 
         for r in rows:
             if r[file] != name:

@@ -26,6 +26,17 @@ def test_shards_round_trip(spark, tmp_path):
     assert got == {("a", None, True), ("b", "text ह", False), ("c", "z", False)}
 
 
+def test_shards_keep_what_they_hold(spark, tmp_path):
+    one = lambda *rows: spark.createDataFrame(list(rows), "file string, k string, v string")
+    out = str(tmp_path / "out")
+    sinks.export_shards(one(("f.json", "b", "old"), ("f.json", "c", "old")), out, "file", "k", "v")
+    sinks.export_shards(one(("f.json", "a", "new"), ("f.json", "b", "new")), out, "file", "k", "v")
+    read = lambda: list(json.loads((tmp_path / "out" / "f.json").read_text())["records"].items())
+    assert read() == [("a", "new"), ("b", "new"), ("c", "old")]
+    sinks.export_shards(one(("f.json", "d", "only")), out, "file", "k", "v", overlay=False)
+    assert read() == [("d", "only")]
+
+
 def test_tuples_markers_histories_texts(spark, tmp_path):
     with gzip.open(tmp_path / "GE_2020.csv.gz", "wt") as f:
         f.write("pid,Year,State_Name,Constituency_Name,Party,Candidate,Sex\np,2019,S,C,P,N,M\n")
