@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.truth import TITLES
-from rollcall.session import cut
+from rollcall.session import cut, spill
 
 # fixed values: decorations that are no part of a name
 _DECORATIONS = ["mp", "m.p", "mla", "m.l.a", "retd", "alias"]
@@ -26,6 +26,9 @@ _MARKED, _BARE = "āīūēōṛṣśṭḍṇñṅṃḥãâáàäéèêíìîó
 MOST_IN_ROW = 256
 # fixed values: endings of nicknames after the beginning of a given name
 NICKNAME_ENDINGS = ["u", "oo", "ji", "i", "y"]
+#: Letters of a given name that a nickname keeps, and what stands for the ending in a form, as no part has it.
+NICKNAME_LETTERS, MARK = range(2, 6), "*"
+_NICKNAME = rf"^.{{1,{max(NICKNAME_LETTERS)}}}(?:{'|'.join(NICKNAME_ENDINGS)})$"
 
 
 def parts(name: Column) -> Column:
@@ -54,12 +57,12 @@ def person_names(persons: DataFrame) -> DataFrame:
     """
     rows = persons.select("pid", parts(F.col("canonical_name")).alias("name")).where("pid IS NOT NULL AND size(name) > 0")
     votes = cut(rows.groupBy("pid", "name").agg(F.count("*").alias("votes")))
-    borne = votes.select("pid", "name", F.explode("name").alias("part"))
+    borne = votes.select("pid", "name", "votes", F.explode("name").alias("part"))
     pids = borne.groupBy("part").agg(F.count_distinct("pid").alias("pids"))
-    rarest = borne.join(pids, "part").groupBy("pid", "name").agg(F.min("pids").alias("rarest"))
+    rarest = borne.join(pids.hint("merge"), "part").groupBy("pid", "name", "votes").agg(F.min("pids").alias("rarest"))
     written = F.size(F.filter("name", lambda p: F.length(p) > 1))
     score = F.struct(written.alias("w"), (F.col("votes") + F.log("rarest")).alias("s"), F.col("name"))
-    best = votes.join(rarest, ["pid", "name"]).groupBy("pid").agg(F.max(score).alias("best"))
+    best = rarest.groupBy("pid").agg(F.max(score).alias("best"))
     return best.select("pid", F.col("best.name").alias("name"))
 
 
@@ -69,22 +72,44 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def _bag(*of: Column) -> Column:
-    return F.array_join(F.array_sort(F.concat(*of)), " ")
+    return F.array_join(F.sort_array(F.concat(*of)), " ")
 
 
 def person_forms(names: DataFrame) -> DataFrame:
-    """Rows (form, cost, pid): each way to write a person's name, cheapest first."""
+    """Rows (form, cost, pid): each way to write a person's name, at its least cost.
+
+    A nickname's ending is not written out: a MARK stands for any of NICKNAME_ENDINGS, and
+    spelling_forms has it too. Only where a nickname may be a part of the same name are all
+    written out, so that what the name itself gives keeps its own cost.
+    """
     given, last = F.slice("name", 1, F.size("name") - 1), F.array(F.element_at("name", -1))
     first, middle = F.slice(given, 1, 1), F.slice(given, 2, F.size("name"))
+    one, closed = F.element_at("name", 1), F.array_join(given, "")
     short = lambda a: F.transform(a, lambda p: F.substring(p, 1, 1))
-    form = lambda cost, *of: F.struct(_bag(*of).alias("form"), F.lit(cost).alias("cost"))
-    nicks = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(5)), lambda k: F.transform(F.array(*map(F.lit, NICKNAME_ENDINGS)), lambda e: F.concat(F.substring(F.element_at("name", 1), F.lit(1), k), e))))
-    nick = lambda cost, *of: F.transform(nicks, lambda n: F.struct(_bag(F.array(n), *of).alias("form"), F.lit(cost).alias("cost")))
+    initials = short(middle)
     # written-out given names with and without the middle ones, then initials, then nicknames
-    plain = F.array(form(0, given, last), form(1, first, last), form(1, F.array(F.array_join(given, "")), last), form(1, first, short(middle), last), form(2, short(first), middle, last), form(2, short(given), last), form(2, short(first), last))
-    nicked = F.concat(nick(3, last), nick(3, middle, last), nick(3, short(middle), last))
-    forms = F.when(F.size("name") > 1, F.concat(plain, nicked)).otherwise(F.array(form(0, F.col("name"))))
-    return names.select("pid", F.explode(F.array_distinct(forms)).alias("x")).groupBy("pid", F.col("x.form").alias("form")).agg(F.min("x.cost").alias("cost"))
+    costs = [[_bag(given, last)], [_bag(first, last), _bag(F.array(closed), last), _bag(first, initials, last)], [_bag(short(first), middle, last), _bag(short(given), last), _bag(short(first), last)]]
+    nick = lambda ending: [_bag(F.array(F.concat(F.substring(one, 1, k), F.lit(ending))), *of) for k in NICKNAME_LETTERS for of in ([last], [middle, last], [initials, last])]
+    own = F.exists(F.concat("name", F.array(closed)), lambda p: p.rlike(_NICKNAME) & p.startswith(F.substring(one, 1, min(NICKNAME_LETTERS))))
+    every = F.flatten(F.array(*(F.array(*nick(e)) for e in NICKNAME_ENDINGS)))
+    costs = [*(F.array(*of) for of in costs), F.when(own, every).otherwise(F.array(*nick(MARK)))]
+    alone = lambda k: F.array(_bag(F.col("name"))) if k == 0 else F.array().cast("array<string>")
+    forms = names.select("pid", *(F.when(F.size("name") > 1, c).otherwise(alone(k)).alias(f"f{k}") for k, c in enumerate(costs)))
+    cheaper = lambda k: F.concat(*(F.col(f"f{i}") for i in range(k)))
+    rows = forms.select("pid", F.explode(F.array(*(F.struct(F.lit(k).alias("cost"), (F.array_except(f"f{k}", cheaper(k)) if k else F.col("f0")).alias("forms")) for k in range(len(costs))))).alias("x"))
+    return rows.select("pid", F.explode("x.forms").alias("form"), F.col("x.cost").alias("cost")).select("pid", "form", "cost")
+
+
+def _marked(token: Column) -> Column:
+    """A part as the nickname it may be, its ending marked: no, one or several strings."""
+    ways = F.array(*(F.when(token.endswith(e) & F.length(token).between(len(e) + 1, len(e) + max(NICKNAME_LETTERS)), F.concat(F.substring(token, F.lit(1), F.length(token) - len(e)), F.lit(MARK))) for e in NICKNAME_ENDINGS))
+    return F.when(token.rlike(_NICKNAME), F.array_compact(ways)).otherwise(F.array().cast("array<string>"))
+
+
+def _with_marks(name: Column) -> Column:
+    """The name, and the name with one of its parts marked."""
+    one = lambda t, i: F.transform(_marked(t), lambda m: F.concat(F.slice(name, F.lit(1), i), F.array(m), F.slice(name, i + 2, F.size(name))))
+    return F.concat(F.array(name), F.flatten(F.transform(name, one)))
 
 
 def _cuts(token: Column) -> Column:
@@ -110,11 +135,12 @@ def mended(tokens: DataFrame, borne: DataFrame) -> DataFrame:
     tokens and borne have token. How often a part was typed says nothing: one slip in a
     common name is common. Borne parts and those of up to three letters are as meant.
     """
-    odd = tokens.where(F.length("token") > 3).select("token").distinct().join(borne, "token", "left_anti")
+    odd = tokens.where(F.length("token") > 3).select("token").distinct().join(borne.hint("merge"), "token", "left_anti")
     keys = lambda c: F.explode(F.concat(_cuts(c), F.array(_sound(c))))
     left = odd.select("token", keys(F.col("token")).alias("c"))
     right = borne.where(F.length("token") > 3).select(F.col("token").alias("borne"), keys(F.col("token")).alias("c"))
-    pairs = left.join(right, "c").where(_one_slip(F.col("token"), F.col("borne")) | (_sound(F.col("token")) == _sound(F.col("borne")))).select("token", "borne").distinct()
+    # a few times as many rows as the names have parts, which no estimate knows: never broadcast
+    pairs = left.join(right.hint("merge"), "c").where(_one_slip(F.col("token"), F.col("borne")) | (_sound(F.col("token")) == _sound(F.col("borne")))).select("token", "borne").distinct()
     return pairs.groupBy("token").agg(F.sort_array(F.collect_set("borne")).alias("mends"))
 
 
@@ -127,40 +153,46 @@ def _products(choices: Column) -> Column:
     )
 
 
-def spelling_forms(spellings: DataFrame, names: DataFrame, known_forms: DataFrame, most_in_row: int = MOST_IN_ROW) -> DataFrame:
+def spelling_forms(spellings: DataFrame, names: DataFrame, known_forms: DataFrame | None = None, most_in_row: int = MOST_IN_ROW) -> DataFrame:
     """Rows (spelling, form, slips): the rewritings of each distinct spelling.
 
-    known_forms has the column form. Of a spelling with more than most_in_row rewritings
-    only those among known_forms are made: the part that fewest forms have leads to forms,
-    and each form keeps the choices it has, so nothing that meets a person is lost.
+    Of a spelling with more than most_in_row rewritings only those among the forms of names
+    are made (of known_forms, if given, with the column form): the part that fewest forms
+    have leads to forms, and each form keeps the choices it has, so nothing that meets a
+    person is lost.
     """
-    typed = cut(_spread(spellings.select("spelling"), "spelling").select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
+    typed = spill(_spread(spellings.select("spelling"), "spelling").select("spelling", parts(F.col("spelling")).alias("name")).where("size(name) > 0"))
     closed = F.array_join(F.slice("name", 1, F.size("name") - 1), "")  # given names without a space
     borne = names.select(F.explode(F.concat("name", F.array(closed))).alias("token")).where(F.length("token") > 1).distinct()
     at = typed.select("spelling", F.posexplode("name").alias("k", "token"))
     # two neighbouring parts no one bears may be one part with a space inside
     joined = typed.where("size(name) > 1").select("spelling", "name", F.explode(F.transform(F.sequence(F.lit(1), F.size("name") - 1), lambda k: F.struct(k.alias("k"), F.concat(F.get("name", k - 1), F.get("name", k)).alias("token")))).alias("x")).select("spelling", "name", "x.k", "x.token")
-    joined = joined.join(borne, "token", "left_semi").select(
+    joined = joined.join(borne.hint("merge"), "token", "left_semi").select(
         "spelling", F.concat(F.slice("name", F.lit(1), F.col("k") - 1), F.array("token"), F.slice("name", F.col("k") + 2, F.size("name"))).alias("name"), F.lit(1).alias("slips")
     )
+    joined = joined.select("spelling", F.explode(_with_marks(F.col("name"))).alias("name"), "slips")
     choices = at.join(mended(at.select("token").distinct(), borne), "token", "left")
     # an odd part stays as a choice of its own: it may be a nickname
     choice = F.concat(F.array(F.struct("token", F.lit(0).alias("slip"))), F.transform(F.coalesce("mends", F.array().cast("array<string>")), lambda t: F.struct(t.alias("token"), F.lit(1).alias("slip"))))
+    marks = F.flatten(F.transform(choice, lambda c: F.transform(_marked(c["token"]), lambda m: F.struct(m.alias("token"), c["slip"].alias("slip")))))
+    choice = F.concat(choice, marks)
     choices = choices.groupBy("spelling").agg(F.sort_array(F.collect_list(F.struct("k", choice.alias("choice")))).alias("all"))
     ways = F.aggregate("all", F.lit(1.0), lambda acc, x: acc * F.size(x["choice"]))
-    choices = cut(choices.select("spelling", F.transform("all", lambda x: x["choice"]).alias("all"), ways.alias("ways")))
+    choices = spill(choices.select("spelling", F.transform("all", lambda x: x["choice"]).alias("all"), ways.alias("ways")))
     rewritten = choices.where(F.col("ways") <= most_in_row).select("spelling", F.explode(_products(F.col("all"))).alias("x")).select("spelling", "x.name", "x.slips")
-    many = _many_ways(choices.where(F.col("ways") > most_in_row), known_forms)
+    many = _many_ways(choices.where(F.col("ways") > most_in_row), names, known_forms)
     rows = rewritten.unionByName(joined).unionByName(many)
     return rows.select("spelling", _bag(F.col("name")).alias("form"), "slips").groupBy("spelling", "form").agg(F.min("slips").alias("slips"))
 
 
-def _many_ways(choices: DataFrame, known_forms: DataFrame) -> DataFrame:
-    """Rows (spelling, name, slips) of the rewritings that are among known_forms."""
-    have = known_forms.select("form", F.split("form", " ").alias("tokens")).distinct()
+def _many_ways(choices: DataFrame, names: DataFrame, known_forms: DataFrame | None) -> DataFrame:
+    """Rows (spelling, name, slips) of the rewritings that are among the forms."""
+    each = choices.select("spelling", F.posexplode("all").alias("k", "choice")).select("spelling", "k", F.explode("choice").alias("c")).select("spelling", "k", "c.token")
+    if known_forms is None:  # every form of a person has the last part of the name
+        known_forms = person_forms(names.withColumn("token", F.element_at("name", -1)).join(each.select("token").distinct(), "token", "left_semi"))
+    have = cut(known_forms.select("form").distinct()).select("form", F.split("form", " ").alias("tokens"))
     by_token = have.select("form", "tokens", F.explode(F.array_distinct("tokens")).alias("token"))
     borne_by = by_token.groupBy("token").agg(F.count("*").alias("forms"))
-    each = choices.select("spelling", F.posexplode("all").alias("k", "choice")).select("spelling", "k", F.explode("choice").alias("c")).select("spelling", "k", "c.token")
     # a form must have a token of every part, so the part with the fewest forms finds them all
     reach = each.join(borne_by, "token", "left").groupBy("spelling", "k").agg(F.sum(F.coalesce("forms", F.lit(0))).alias("forms"))
     anchor = reach.groupBy("spelling").agg(F.min(F.struct("forms", "k")).alias("a")).where("a.forms > 0").select("spelling", "a.k")
@@ -181,9 +213,10 @@ def link_spellings(spellings: DataFrame, persons: DataFrame) -> DataFrame:
     links to nobody.
     """
     names = cut(person_names(persons))
-    forms = cut(person_forms(_spread(names, "pid")).groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid")))
-    typed = spelling_forms(spellings.select("spelling").where("spelling IS NOT NULL").distinct(), names, forms)
-    hits = cut(typed.join(forms, "form").select("spelling", "slips", "cost", "pids", "pid"))
+    # one shuffle by form serves the counts and the join; what the names are exploded to is never broadcast
+    forms = _spread(person_forms(_spread(names, "pid")), "form").groupBy("form", "cost").agg(F.count("*").alias("pids"), F.min("pid").alias("pid"))
+    typed = spelling_forms(spellings.select("spelling").where("spelling IS NOT NULL").distinct(), names)
+    hits = spill(typed.join(forms.hint("merge"), "form").select("spelling", "slips", "cost", "pids", "pid"))
     scored = hits.join(F.broadcast(rarities(hits)), ["slips", "cost"])  # a row for each set of rules
     best = scored.groupBy("spelling", "rarity").agg(F.max("pids").alias("pids"), F.min("pid").alias("pid"), F.max("pid").alias("other"))
     best = best.groupBy("spelling").agg(F.min(F.struct("rarity", "pids", "pid", "other")).alias("b")).select("spelling", "b.*")

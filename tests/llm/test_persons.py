@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import matching
 from rollcall.llm.matching import assign, match_candidates, neighbours
-from rollcall.llm.names import link_spellings, parts, person_forms, person_names, spelling_forms
+from rollcall.llm.names import NICKNAME_ENDINGS, link_spellings, mended, parts, person_forms, person_names, spelling_forms
 from rollcall.llm.truth import discover_truth, surviving_rows
 from rollcall.session import cut
 
@@ -197,3 +197,30 @@ def test_names_with_many_rewritings_meet_the_same_persons(spark):
     typed = spark.createDataFrame([("Chetulol Kaveswer Orlokatosi",), ("Manven Sabinorgi",), ("Nobody Else",)], "spelling string")
     every, few = (sorted(map(tuple, spelling_forms(typed, persons, forms, most).join(forms, "form", "left_semi").collect())) for most in (10_000, 0))
     assert every == few and len(every) == 2
+
+
+def test_what_names_are_exploded_to_is_never_broadcast(spark):
+    tokens = spark.createDataFrame([("orlokatosi",)], "token string")
+    borne = spark.createDataFrame([("orlokatoti",)], "token string")
+    pairs = mended(tokens, borne)
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString() and pairs.collect()[0].mends == ["orlokatoti"]
+    assert person_forms(person_names(people(spark))).groupBy("pid").count().agg(F.max("count")).first()[0] <= 19
+
+
+def test_nicknames_by_their_beginning_are_the_written_out_ones(spark):
+    names = [["ramesh", "hari", "devi"], ["rami", "lal", "das"], ["ram", "devi"], ["hari", "rami", "das"], ["k", "ki", "sen"], ["balu", "baloo", "balji"], ["om", "omi"], ["solo"]]
+    short = lambda a: [x[:1] for x in a]
+    want = {}
+    for pid, n in enumerate(names):
+        f, m, last = n[:1], n[1:-1], n[-1:]
+        ways = [(0, f + m + last), (1, f + last), (1, ["".join(f + m)] + last), (1, f + short(m) + last), (2, short(f) + m + last), (2, short(f + m) + last), (2, short(f) + last)]
+        ways += [(3, [n[0][:k] + e] + rest) for k in range(2, 6) for e in NICKNAME_ENDINGS for rest in (last, m + last, short(m) + last)]
+        for cost, way in ways if len(n) > 1 else [(0, n)]:
+            key = (" ".join(sorted(way)), str(pid))
+            want[key] = min(cost, want.get(key, 9))
+    persons = spark.createDataFrame([(str(i), n) for i, n in enumerate(names)], "pid string, name array<string>")
+    spellings = spark.createDataFrame([(x,) for x in sorted({form for form, _ in want})], "spelling string")
+    for most in (10_000, 0):
+        typed = spelling_forms(spellings, persons, None, most).where("slips = 0")
+        got = {(r.spelling, r.pid): r.cost for r in typed.join(person_forms(persons), "form").groupBy("spelling", "pid").agg(F.min("cost").alias("cost")).collect()}
+        assert got == want
