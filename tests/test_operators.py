@@ -9,7 +9,7 @@ from rollcall.operators.components import connected_components
 from rollcall.operators.dedupe import descending, keep_best, nulls_last
 from rollcall.operators.identity import identity_edges, refused_pairs
 from rollcall.operators.ordinals import number_rows
-from rollcall.operators.resolve import best_forms, indel_ratio, lookup, resolve
+from rollcall.operators.resolve import FormBlock, best_forms, indel_ratio, lookup, resolve
 from rollcall.operators.upsert import insert_or_ignore, merge_stats, mint_ids, snapshot_join, upsert
 
 
@@ -115,6 +115,25 @@ def test_resolve_takes_the_best_of_all_forms(spark):
     assert {x.status for x in resolve(spark.createDataFrame([("abc",)], "raw string"), forms.limit(0)).collect()} == {"unmatched"}
 
 
+def test_only_pairs_that_may_be_best_are_compared(monkeypatch):
+    r, compared = random.Random(4), []
+    word = lambda: "".join(r.choice("abdeghiklmnoprstuvy") for _ in range(r.randint(4, 13)))
+    forms = sorted({f"{word()} {word()}" for _ in range(800)} | {"ram " * 20 + "lal", "ab", "ba", "a" * 30, "नाम देवी"})
+    typed = ["".join(c for c in f if r.random() > 0.06) for f in r.sample(forms, 150)] + ["ram " * 20 + "la", "ax", "zzz", "a" * 29 + "b", "नाम देव", word() + " " + word()]
+    ratios = FormBlock.ratios
+    monkeypatch.setattr(FormBlock, "ratios", lambda self, *a: compared.append(len(a[-1])) or ratios(self, *a))
+    every = [[indel_ratio(t, f) for f in forms] for t in typed]
+    want = {(i, j, x[j]) for i, x in enumerate(every) for j in range(len(forms)) if x[j] == max(x)}
+    # from nothing known, from a ratio that some form has, and from one that none of the forms has
+    for least, rows in (([0.0] * len(typed), want), ([max(x[:100]) for x in every], want), ([100.1] * len(typed), set())):
+        compared.clear()
+        q, f, score = FormBlock(forms).best(typed, least, 16)
+        assert set(zip(q.tolist(), f.tolist(), score.tolist())) == rows
+    compared.clear()
+    FormBlock(forms).best(typed[:150], [max(x) for x in every[:150]])
+    assert sum(compared) < 0.02 * 150 * len(forms)
+
+
 def test_unfinished_components_are_an_error(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a int, b int")
     with pytest.raises(RuntimeError, match="converged"):
